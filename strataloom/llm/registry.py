@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataloom.llm import minhash
+from strataloom.llm import bpe, minhash, packed
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
+        "op4_token_id_files": packed.op4_token_id_files,
+        "op10_bpe_encode_decode": bpe.op10_bpe_encode_decode,
     }
 
 
