@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataloom.llm import bpe, minhash, packed
+from strataloom.llm import bpe, minhash, mixing, packed
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mix_to_weights": mixing.op1_mix_to_weights,
         "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
         "op4_token_id_files": packed.op4_token_id_files,
         "op10_bpe_encode_decode": bpe.op10_bpe_encode_decode,
@@ -18,4 +19,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mix_to_weights": mixing.OP1_SQL}
