@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataloom.llm import bpe, minhash, mixing, packed
+import corpus_pipeline
+from strataloom.llm import bpe, minhash, mixing, packed, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,7 +15,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_to_weights": mixing.op1_mix_to_weights,
         "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
         "op4_token_id_files": packed.op4_token_id_files,
+        "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_bpe_encode_decode": bpe.op10_bpe_encode_decode,
+        "pipeline": corpus_pipeline.run,
     }
 
 
