@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strataloom.llm import bpe, ctw, minhash, mixing, packed, quality
+from strataloom.llm import bpe, chat, ctw, minhash, mixing, packed, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
         "op4_token_id_files": packed.op4_token_id_files,
         "op6_context_tree_score": ctw.op6_context_tree_score,
+        "op7_chat_windows": chat.op7_chat_windows,
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_bpe_encode_decode": bpe.op10_bpe_encode_decode,
         "pipeline": corpus_pipeline.run,
