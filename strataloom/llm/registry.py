@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strataloom.llm import bpe, chat, ctw, minhash, mixing, packed, quality
+from strataloom.llm import bpe, chat, ctw, html_text, minhash, mixing, packed, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_to_weights": mixing.op1_mix_to_weights,
         "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
         "op4_token_id_files": packed.op4_token_id_files,
+        "op5_main_text": html_text.op5_main_text,
         "op6_context_tree_score": ctw.op6_context_tree_score,
         "op7_chat_windows": chat.op7_chat_windows,
         "op9_quality_classifier": quality.op9_quality_classifier,
