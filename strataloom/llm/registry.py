@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strataloom.llm import bpe, chat, ctw, html_text, minhash, mixing, packed, quality
+from strataloom.llm import bpe, chat, covertree, ctw, html_text, minhash, mixing, packed, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_to_weights": mixing.op1_mix_to_weights,
+        "op2_cover_tree_near_dedup": covertree.op2_cover_tree_near_dedup,
         "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
         "op4_token_id_files": packed.op4_token_id_files,
         "op5_main_text": html_text.op5_main_text,
