@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strataloom.llm import bpe, chat, covertree, ctw, html_text, minhash, mixing, packed, quality
+from strataloom.llm import bpe, chat, covertree, ctw, html_text, minhash, mixing, packed, quality, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_main_text": html_text.op5_main_text,
         "op6_context_tree_score": ctw.op6_context_tree_score,
         "op7_chat_windows": chat.op7_chat_windows,
+        "op8_exact_top_k": topk.op8_exact_top_k,
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_bpe_encode_decode": bpe.op10_bpe_encode_decode,
         "pipeline": corpus_pipeline.run,
@@ -26,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_to_weights": mixing.OP1_SQL}
+    return {"op1_mix_to_weights": mixing.OP1_SQL, "op8_exact_top_k": topk.OP8_SQL}
