@@ -31,7 +31,7 @@ from strataloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Pretokens kept by a worker; bytes that the transducer takes in beyond its lookahead.
-CACHED, WINDOW = 500_000, 256
+CACHED, WINDOW = 150_000, 256
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 
@@ -240,10 +240,10 @@ def merges(path: str) -> Merges:
 class Encoder:
     """Ids of many texts at once. `make` gives the ids of pretokens that are new to this worker."""
 
-    def __init__(self, added: list[str], make: Callable[[list[str]], list[list[int]]]):
+    def __init__(self, added: list[str], make: Callable[[list[str]], list[list[int]]], keep: int = CACHED):
         import re
 
-        self.make, self.known, self.older = make, {}, {}
+        self.make, self.keep, self.known, self.older = make, keep, {}, {}
         self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.value = bw.mix(np.arange(1, 0x110001, dtype=np.uint64))
 
@@ -269,7 +269,7 @@ class Encoder:
             if (x := self.older.get(keys[j])) is not None:
                 packed[j] = self.known[keys[j]] = x
         if new := [j for j in new if packed[j] is None]:
-            if len(self.known) > CACHED:
+            if len(self.known) > self.keep:
                 self.known, self.older = {}, self.known
             spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
             for j, ids in zip(new, self.make([text[a:b] for a, b in spans]), strict=True):

@@ -32,6 +32,7 @@ from strataloom.llm.common import cut, shared_dir, spread, table
 
 MARK = b"packed ids 1\0\0\0\0"
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 24
+KEPT = 500_000  # pretokens kept by a worker
 NO_ID = -(2**63)  # stands for a null doc_id in a file
 
 
@@ -130,7 +131,7 @@ def library_encoder(path: str) -> tuple[Encoder, int]:
     t.no_truncation()
     t.no_padding()
     added = [x.content for x in t.get_added_tokens_decoder().values()]
-    return Encoder(added, lambda words: [x.ids for x in t.encode_batch_fast(words, add_special_tokens=False)]), t.get_vocab_size()
+    return Encoder(added, lambda words: [x.ids for x in t.encode_batch_fast(words, add_special_tokens=False)], KEPT), t.get_vocab_size()
 
 
 def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY, end_id: int = 0) -> DataFrame:
