@@ -100,9 +100,9 @@ def _resolve(q: np.ndarray, me: int, rows: np.ndarray, ids: np.ndarray, places:
         order = np.lexsort((places, -score))[:k]
         return places[order], score[order].tolist()
     whole = [int(x) for x in q]
-    sums = [sum(a * int(b) for a, b in zip(whole, rows[p], strict=True)) for p in places]
+    sums = [max(-(2**63), min(2**63 - 1, sum(a * int(b) for a, b in zip(whole, rows[p], strict=True)))) for p in places]
     order = sorted(range(len(places)), key=lambda i: (-sums[i], places[i]))[:k]
-    return places[order], [max(-(2**63), min(2**63 - 1, sums[i])) for i in order]
+    return places[order], [sums[i] for i in order]
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
