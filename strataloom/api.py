@@ -223,7 +223,7 @@ def get_bgt_features(spark: SparkSession, featuretypes: Sequence[str], poly_mask
     """Topography as one GeoPackage a feature type: the folder that holds them."""
     folder = Path(download_dir or DataStore().bgt_dir)
     job = extract_job.submit(featuretypes, poly_mask, root)
-    packed = fetch.download(extract_job.poll(job, poll_interval_s, root=root), folder / f".{job}.zip", timeout=600)
+    packed = fetch.download(extract_job.poll(job, poll_interval_s, root=root), folder / f"download-{job}.zip", timeout=600)
     try:
         found = extract_job.read_extract(spark, packed, crs)
         flat = found.select("file", "id", "layer", F.to_json("attributes").alias("attributes"), "geom").cache()
