@@ -19,6 +19,7 @@ import json
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -33,23 +34,37 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Pretokens kept by a worker; bytes that the transducer takes in beyond its lookahead.
 CACHED, WINDOW = 150_000, 256
 
-LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
+LETTER, NUMBER, SPACE, OTHER, UNKNOWN = 0, 1, 2, 3, 255
+#: Unicode's white space (fixed values).
+WHITE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 
 
 @lru_cache(1)
 def _classes() -> np.ndarray:
-    """Class of each code point by Unicode's letters, numbers and white space."""
-    import regex
-
-    text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    at = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)])
-    out = np.full(0x110000, OTHER, np.uint8)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
-        for m in regex.finditer(pattern, text):
-            out[at[m.start() : m.end()]] = kind
+    """Class of each code point by Unicode's letters, numbers and white space; UNKNOWN where this Python's Unicode has no character."""
+    known = {"L": LETTER, "N": NUMBER}
+    out = np.array([UNKNOWN if (kind := category(chr(c))) == "Cn" else known.get(kind[0], OTHER) for c in range(0x110000)], np.uint8)
+    out[list(WHITE)] = SPACE
     return out
 
 
+def _ask(point: int) -> int:
+    """Class of a code point in the tokenizers library, whose Unicode may be newer: the one whose neighbours it joins."""
+    from tokenizers import pre_tokenizers
+
+    split = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+    return next((kind for kind, beside in ((LETTER, "a"), (NUMBER, "1"), (OTHER, "!")) if len(split(f"{beside}{chr(point)}{beside}")) == 1), SPACE)
+
+
+def classes(points: np.ndarray) -> np.ndarray:
+    kind = _classes()[points]
+    if (kind == UNKNOWN).any():
+        for point in np.unique(points[kind == UNKNOWN]).tolist():
+            _classes()[point] = _ask(point)
+        kind = _classes()[points]
+    return kind
+
+
 #: The endings that follow an apostrophe as a pretoken of their own (fixed values of the tokenizer's pattern).
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -59,7 +74,7 @@ def pretokens(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(points)
     if not n:
         return np.zeros(0, np.int64)
-    kind = _classes()[points]
+    kind = classes(points)
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     start = edge[:n].copy()

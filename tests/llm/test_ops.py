@@ -245,6 +245,19 @@ def test_bpe_digests(docs, library):
     assert sorted(r["text"] for r in bpe.decode_ids(bpe.encode_texts(docs)).collect()) == sorted(t or "" for t in [*TEXTS, "tie"])
 
 
+def test_code_points_of_all_kinds(library):
+    """A sample of all of Unicode, characters that are newer than this Python's tables among them."""
+    rng = np.random.default_rng(8)
+    points = [*rng.integers(0x21, 0xD800, 3000).tolist(), *rng.integers(0xE000, 0x110000, 1500).tolist(), *range(0x1C85, 0x1C90), *range(0x105C0, 0x105D0), *bpe.WHITE, 0x1C, 0x1D, 0x200B, 0xFEFF]
+    texts = ["".join(f"{x}{chr(p)}{x}" for p in points[i : i + 40] for x in "a1! ") for i in range(0, len(points), 40)]
+    import pyarrow as pa
+
+    encoder = bpe.own_encoder(bpe.VOCABULARY)
+    for a, b, ids, begin in encoder.texts(pa.array(texts)):
+        for i in range(a, b):
+            assert ids[begin[i - a] : begin[i - a + 1]].tolist() == library.encode(texts[i], add_special_tokens=False).ids
+
+
 def test_transducer_is_exact_and_bounded(library):
     m, rng = bpe.merges(bpe.VOCABULARY), np.random.default_rng(3)
     for alphabet in ("ab", "aeinst", "etaoinshrdlucmfwypvbgkjqxz"):
