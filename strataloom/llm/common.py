@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +44,7 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     Beyond the bound the join is a sort-merge join whose skewed keys adaptive
     execution splits. `df` should be narrow and cheap to count, or cut before.
     """
-    return F.broadcast(df) if len(df.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows else df
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def crc_mod(id_column: str, modulus: int) -> Column:
@@ -87,6 +86,3 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
-
-
-__all__ = ["BROADCAST_ROWS", "StorageLevel", "bounded", "components", "crc_mod", "cut", "shared_dir", "spread", "table"]

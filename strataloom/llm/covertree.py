@@ -225,20 +225,17 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
         order = np.lexsort((ids, on))
         ids, weight, x, on = ids[order], weight[order], x[order], on[order]
         k = int((on == 0).sum())
-        if k == 0 or (k == len(ids) and group.column("cell_a")[0] != group.column("cell_b")[0]):
-            return pa.table({"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "low": pa.array([], pa.int64())})
-        if k == len(ids):
-            if group.column("part_a")[0] != group.column("part_b")[0]:
-                return pa.table({"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "low": pa.array([], pa.int64())})
-            counts, a, b = dual(x, None, weight, None, cosine)
-        else:
-            counts, a, b = dual(x[:k], x[k:], weight[:k], weight[k:], cosine)
+        # Where one of two blocks is empty, the other has come alone and has no partner here.
+        alone = k in (0, len(ids)) and any(group.column(f"{n}_a")[0] != group.column(f"{n}_b")[0] for n in ("cell", "part"))
+        if alone:
+            none = pa.array([], pa.int64())
+            return pa.table({"node": none, "links": none, "low": none})
+        sides = (x, None, weight, None) if k == len(ids) else (x[:k], x[k:], weight[:k], weight[k:])
+        counts, a, b = dual(*sides, cosine)
         low = ids.copy()
         there, least = forest(ids, a, b)
-        low[np.searchsorted(ids[:k], there[np.isin(there, ids[:k])])] = least[np.isin(there, ids[:k])]
-        if k < len(ids):
-            at = np.isin(there, ids[k:])
-            low[k + np.searchsorted(ids[k:], there[at])] = least[at]
+        by_id = np.argsort(ids)
+        low[by_id[np.searchsorted(ids[by_id], there)]] = least
         some = counts > 0
         return pa.table({"node": ids[some], "links": counts[some], "low": low[some]})
 
