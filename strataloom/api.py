@@ -120,9 +120,9 @@ def mosaic_cells(spark: SparkSession, files: Sequence[str | Path]) -> tuple[Data
     The grid's origin is the upper left corner of them all. A file that cannot be read is an error.
     """
     names = [str(f) for f in files]
-    blocks = tiff.scan(spark.read.format("binaryFile").load(names).select("path", "content"))
-    per_file = ["raster_id", "path", "a", "b", "c", "d", "e", "f", "height", "width", "nodata", "scale", "crs", "dtype", "error"]
-    meta = blocks.select(*per_file).distinct()
+    contents = spark.read.format("binaryFile").load(names).select("path", "content")
+    blocks = tiff.scan(contents)
+    meta = tiff.metadata(contents)
     rows = meta.collect()  # one row a file
     if bad := [r for r in rows if r["error"]]:
         raise ValueError(f"{bad[0]['path']}: {bad[0]['error']}")
@@ -132,7 +132,7 @@ def mosaic_cells(spark: SparkSession, files: Sequence[str | Path]) -> tuple[Data
     place = {"r0": F.round((F.col("f") - grid.f) / grid.e).cast("int"), "c0": F.round((F.col("c") - grid.c) / grid.a).cast("int"), "priority": F.try_element_at(order, F.regexp_replace("path", "^file:/+", "/"))}
     meta = spark.createDataFrame(rows, meta.schema).withColumns(place)
     cells = raster.to_cells(blocks.select("raster_id", "path", "br", "bc", "n_rows", "n_cols", "data"), tiff.TILE)
-    cells = cells.join(F.broadcast(meta.select("path", "r0", "c0", "priority")), "path")
+    cells = cells.join(meta.select("path", "r0", "c0", "priority"), "path")
     return cells.select((F.col("r") + F.col("r0")).alias("r"), (F.col("c") + F.col("c0")).alias("c"), "h", "raster_id", "priority"), meta, grid
 
 

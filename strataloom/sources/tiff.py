@@ -16,7 +16,6 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strataloom.functions.grid import Affine
 
@@ -147,6 +146,14 @@ def read(raw: bytes, band: int = 1, level: int = 0) -> tuple[np.ndarray, Profile
     return out[:height, :width], _profile(tags, found[0], out.dtype, width, height)
 
 
+def describe(raw) -> tuple[int, int, Profile]:
+    """Rows, columns and profile of the image, without its cells; `raw` may be bytes or a memory map."""
+    order, found = directories(raw)
+    tags = found[0]
+    kind = np.dtype(f"{_KINDS[tags.get(FORMAT, (1,))[0]]}{tags[BITS][0] // 8}")
+    return tags[HEIGHT][0], tags[WIDTH][0], _profile(tags, tags, kind, tags[WIDTH][0], tags[HEIGHT][0])
+
+
 def _profile(tags: dict, first: dict, dtype: np.dtype, width: int, height: int) -> Profile:
     t = Affine(1.0, 0.0, 0.0, 0.0, 1.0, 0.0)
     if TRANSFORM in first:
@@ -277,6 +284,23 @@ def scan(contents: DataFrame, size: int = TILE, band: int = 1) -> DataFrame:
     return contents.select("path", "content").mapInArrow(run, BLOCKS)
 
 
+META = "raster_id string, path string, height int, width int, a double, b double, c double, d double, e double, f double, nodata double, scale double, crs int, dtype string, error string"
+
+
 def metadata(contents: DataFrame) -> DataFrame:
-    """One row of metadata for each raster, without its cells."""
-    return scan(contents, size=1 << 30).select("raster_id", "path", F.col("height").alias("n_rows"), F.col("width").alias("n_cols"), "a", "b", "c", "d", "e", "f", "nodata", "scale", "crs", "dtype", "error")
+    """One row of metadata for each raster (path, content); no cell is decoded. A file that cannot be read has an error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}
+        schema = pa.schema([(part.split()[0], kinds[part.split()[1]]) for part in META.split(", ")])
+        for batch in batches:
+            for path, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                row = dict.fromkeys(schema.names) | {"raster_id": path.rstrip("/").rpartition("/")[2].rpartition(".")[0], "path": path}
+                try:
+                    height, width, p = describe(raw.as_py())
+                    row |= {"height": height, "width": width, "nodata": p.nodata, "scale": p.scale, "crs": p.crs, "dtype": p.dtype} | {n: getattr(p.transform, n) for n in "abcdef"}
+                except Exception as e:
+                    row["error"] = f"{type(e).__name__}: {e}"
+                yield pa.RecordBatch.from_pylist([row], schema)
+
+    return contents.select("path", "content").mapInArrow(run, META)

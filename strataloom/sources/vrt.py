@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import mmap
 import xml.etree.ElementTree as ET
 from collections.abc import Sequence
 from pathlib import Path
@@ -28,8 +29,9 @@ def create_vrt_file(vrt_file: str | Path, directory: str | Path | Sequence[str |
         return vrt_file
     parts = []
     for f in found:
-        data, profile = tiff.read(f.read_bytes())
-        parts.append((f, data.shape, profile))
+        with f.open("rb") as opened, mmap.mmap(opened.fileno(), 0, access=mmap.ACCESS_READ) as raw:
+            height, width, profile = tiff.describe(raw)
+        parts.append((f, (height, width), profile))
     boxes = [p.transform.bounds(*shape) for _, shape, p in parts]
     xmin, ymin, xmax, ymax = min(b[0] for b in boxes), min(b[1] for b in boxes), max(b[2] for b in boxes), max(b[3] for b in boxes)
     size = sum(p.transform.cell_size for _, _, p in parts) / len(parts)

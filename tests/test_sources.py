@@ -142,7 +142,7 @@ def test_scan_and_broken_file(spark, tmp_path):
     assert set(rows) == {"a", "b"} and "ValueError" in rows["b"]["error"]
     assert rows["a"]["data"] == [None if v == -9999 else float(v) for v in data.ravel()]
     meta = tiff.metadata(tiff.files(spark, str(tmp_path))).where("error is null").first()
-    assert (meta["n_rows"], meta["n_cols"], meta["e"], meta["crs"]) == (3, 4, -1.0, 28992)
+    assert (meta["height"], meta["width"], meta["e"], meta["crs"]) == (3, 4, -1.0, 28992)
 
 
 # archives, GML
