@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer text is a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = (1 << 19) - 1
 
 _rng = np.random.default_rng(20240501)
 _odd = lambda n: _rng.integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -44,7 +44,7 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE to the powers 0 to n - 1 modulo 2^64, and their inverses."""
-    m = max(CHUNK, 1 << int(n).bit_length())
+    m = max(CHUNK + 1, 1 << (int(n) - 1).bit_length())
     return _powers(m, BASE)[:n], _powers(m, pow(BASE, -1, 2**64))[:n]
 
 

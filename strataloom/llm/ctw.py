@@ -33,7 +33,7 @@ DEPTH = 5
 SLOT_BITS = 22
 END, BLANK = 0x0A, 0x20
 #: Grams whose result a worker keeps; words whose count is sent to every task (the others' counts are joined).
-KEPT, SENT_WORDS = 1_500_000, 1 << 20
+KEPT, SENT_WORDS = 1_000_000, 1 << 20
 _U = np.uint64
 
 
@@ -95,7 +95,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in bw.chunks(offsets):
             part = offsets[a : b + 1]
             held.append(np.unique(grams(*code_bytes(data[part[0] : part[-1]], part - part[0])), return_counts=True))
-            if sum(len(k) for k, _ in held) > 2_000_000:
+            if sum(len(k) for k, _ in held) > 1_000_000:
                 yield flush()
     if held:
         yield flush()
@@ -274,7 +274,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in bw.chunks(offsets):
             part = offsets[a : b + 1]
             held.append(np.unique(bw.word_hashes(data[part[0] : part[-1]], part - part[0])[0], return_counts=True))
-            if sum(len(k) for k, _ in held) > 1_000_000:
+            if sum(len(k) for k, _ in held) > 500_000:
                 yield flush()
     if held:
         yield flush()
