@@ -32,7 +32,7 @@ from strataloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Pretokens kept by a worker; bytes that the transducer takes in beyond its lookahead.
-CACHED, WINDOW = 150_000, 256
+CACHED, WINDOW = 200_000, 256
 
 LETTER, NUMBER, SPACE, OTHER, UNKNOWN = 0, 1, 2, 3, 255
 #: Unicode's white space (fixed values).
