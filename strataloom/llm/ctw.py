@@ -8,10 +8,12 @@ contexts, half and half, from the deepest up; the weight that a node's own estim
 after training, and that estimate, are all that scoring needs. A longer context that was
 never seen adds nothing to go by, so the mixture ends at the node above it.
 
-Training counts (DEPTH + 1)-byte grams within each task and then over all, so what it
-gathers follows the corpus; the tree is built a depth at a time by sums over the parent
-node. The tree's `SLOTS` slots bound what scoring is sent: of nodes that meet in a slot the
-one with more counts stays, with a check of its name; another is taken as never seen.
+Training counts (DEPTH + 1)-byte grams over all texts and deals them by the nearest TOP + 1
+bytes of context, so that every node of more than `TOP` bytes lies in one bucket with all its
+longer ones: a task builds them there, no node is left out, and only sums for the nodes of
+`TOP` bytes leave it. Those and the shorter ones, at most 255 * (256^TOP + ... + 1) at any
+corpus size, are sent to every task. So are the results of the commonest grams, as a cache;
+every other gram of a text goes to its bucket and is scored against all the nodes there.
 
 Rows: a null text is an empty one; an empty text is the end mark alone. Repeated ids and
 rows count each. Without training texts every bit has probability one half.
@@ -27,13 +29,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataloom.llm import bytewords as bw
-from strataloom.llm.common import crc_mod, cut, table
+from strataloom.llm.common import crc_mod, cut, spread, table
 
 DEPTH = 5
-SLOT_BITS = 22
+#: Bytes of context up to which nodes are sent to every task; buckets of grams (a power of two); grams worked on at once.
+TOP, BUCKET_BITS, TOGETHER = 2, 16, 100_000
 END, BLANK = 0x0A, 0x20
-#: Grams whose result a worker keeps; words whose count is sent to every task (the others' counts are joined).
-KEPT, SENT_WORDS = 1_000_000, 1 << 20
+#: Grams whose result, and words whose count, is sent to every task (the others' are joined).
+SENT_GRAMS, SENT_WORDS = 1 << 21, 1 << 20
 _U = np.uint64
 
 
@@ -80,37 +83,43 @@ def nodes(gram: np.ndarray, depth: int, bit: int) -> np.ndarray:
     return so_far | context << _U(8) | _U(depth) << _U(56)
 
 
+def slot_of(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place for each node, one of its own as bw.mix() is one-to-one, and the bucket of that place."""
+    h = bw.mix(name)
+    return h.view(np.int64), (h >> _U(64 - BUCKET_BITS)).astype(np.int32)
+
+
+def bucket_of(gram: np.ndarray) -> np.ndarray:
+    """Bucket of the nearest TOP + 1 bytes of context."""
+    return slot_of(nodes(gram, TOP + 1, 0))[1]
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Grams of training texts with counts, summed over a few chunks at a time."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def flush() -> pa.RecordBatch:
+    def merge() -> tuple[np.ndarray, np.ndarray]:
         kinds, inverse = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
         sums = np.bincount(inverse, np.concatenate([c for _, c in held])).astype(np.int64)
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(sums)], ["gram", "n"])
+        return kinds, sums
+
+    def flush(kinds: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(bucket_of(kinds)), pa.array(kinds.view(np.int64)), pa.array(sums)], ["bucket", "gram", "n"])
 
     for batch in batches:
         data, offsets = bw.buffers(batch.column(0))
         for a, b in bw.chunks(offsets):
             part = offsets[a : b + 1]
             held.append(np.unique(grams(*code_bytes(data[part[0] : part[-1]], part - part[0])), return_counts=True))
-            if sum(len(k) for k, _ in held) > 1_000_000:
-                yield flush()
+            if sum(len(k) for k, _ in held) > 1_500_000:
+                merged = merge()
+                if len(merged[0]) > 750_000:
+                    yield flush(*merged)
+                else:
+                    held.append(merged)
     if held:
-        yield flush()
-
-
-def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Deepest nodes (node, zeros, ones) of grams (gram, n)."""
-    for batch in batches:
-        gram, n = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
-        name = np.concatenate([nodes(gram, DEPTH, bit) for bit in range(8)])
-        one = np.concatenate([(gram >> _U(7 - bit)) & _U(1) for bit in range(8)]).astype(np.int64)
-        kinds, inverse = np.unique(name, return_inverse=True)
-        n = np.tile(n, 8)
-        ones, total = np.bincount(inverse, n * one), np.bincount(inverse, n)
-        yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array((total - ones).astype(np.int64)), pa.array(ones.astype(np.int64))], ["node", "zeros", "ones"])
+        yield flush(*merge())
 
 
 def log_gamma_half(n: np.ndarray) -> np.ndarray:
@@ -140,124 +149,242 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma_half(zeros) + log_gamma_half(ones) - log_factorial(zeros + ones)
 
 
-def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, zeros, ones, longer): adds the weighted probability, the weight of the node's own estimate, and its parent.
+def _place(names: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of `name` among ascending `names`, and whether they are there."""
+    if not len(names):
+        return np.zeros(len(name), np.int64), np.zeros(len(name), bool)
+    place = np.minimum(np.searchsorted(names, name), len(names) - 1)
+    return place, names[place] == name
+
+
+def _kept_bits(name: np.ndarray, bits: int) -> np.ndarray:
+    return name & _U((1 << bits) - 1)
 
-    longer: the sum of the longer contexts' weighted log probabilities, null at the deepest.
+
+class Level:
+    """All nodes of one depth, for each bit in ascending order of their name: the context, then the byte's bits so far.
+
+    counts: for each bit names, zeros and ones. longer: for each bit the sums of the longer
+    contexts' weighted log probabilities, None at the deepest.
     """
-    for batch in batches:
-        name = batch.column(0).to_numpy().view(np.uint64)
-        zeros, ones = (batch.column(i).to_numpy().astype(float) for i in (1, 2))
-        own = log_kt(zeros, ones)
-        longer = batch.column(3)
-        deepest = longer.is_null().to_numpy(zero_copy_only=False)
-        longer = longer.fill_null(0).to_numpy()
-        mixed = np.where(deepest, own, np.logaddexp(own, longer) - np.log(2))
-        weight = np.where(deepest, 1.0, np.exp(own - np.logaddexp(own, longer)))
-        depth = name >> _U(56)
-        shorter = np.where(depth > 0, depth, 1).astype(np.uint64) - _U(1)
-        keep = (_U(1) << (_U(8) * (shorter + _U(1)))) - _U(1)
-        parent = (name & keep) | shorter << _U(56)
-        parent = np.where(depth > 0, parent, name)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(mixed), pa.array(weight), pa.array(parent.view(np.int64))], ["node", "zeros", "ones", "mixed", "weight", "parent"])
 
+    def __init__(self, depth: int, counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], longer: list[np.ndarray] | None):
+        self.depth, self.counts, self.names = depth, counts, [c[0] for c in counts]
+        self.mixed, self.weight = [], []
+        for bit, (_, zeros, ones) in enumerate(counts):
+            own = log_kt(zeros, ones)
+            both = own if longer is None else np.logaddexp(own, longer[bit])
+            self.mixed.append(own if longer is None else both - np.log(2))
+            self.weight.append(np.exp(own - both))
+
+    def shorter(self) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], list[np.ndarray]]:
+        """Counts and sums for the nodes one byte shorter."""
+        counts, longer = [], []
+        for bit, (name, zeros, ones) in enumerate(self.counts):
+            kinds, inverse = np.unique(_kept_bits(name, 8 * (self.depth - 1) + bit), return_inverse=True)
+            sums = [np.bincount(inverse, x, len(kinds)) for x in (zeros, ones, self.mixed[bit])]
+            counts.append((kinds, sums[0], sums[1]))
+            longer.append(sums[2])
+        return counts, longer
+
+    def reach(self, parent: Level | None) -> None:
+        """From the next shorter nodes: what the mixture has at each node, the weight left, and its estimate if it ends there."""
+        self.total, self.left, self.one = [], [], []
+        for bit, (name, zeros, ones) in enumerate(self.counts):
+            own = (ones + 0.5) / (zeros + ones + 1)
+            total, left = np.zeros(len(name)), np.ones(len(name))
+            if parent is not None:
+                place = np.searchsorted(parent.names[bit], _kept_bits(name, 8 * parent.depth + bit))
+                total, left = parent.total[bit][place], parent.left[bit][place]
+            self.total.append(total + left * self.weight[bit] * own)
+            self.left.append(left * (1 - self.weight[bit]))
+            self.one.append(self.total[bit] + self.left[bit] * own)
+        del self.counts, self.mixed, self.weight
+
+
+def _longest(gram: np.ndarray, n: np.ndarray) -> list[Level]:
+    """Levels DEPTH to TOP + 1 of all grams (distinct) of some buckets."""
+    order = np.argsort(gram)
+    gram, n = gram[order], n[order].astype(float)
+    counts = []
+    for bit in range(8):
+        name = gram >> _U(8 - bit)
+        at = np.flatnonzero(np.diff(name, prepend=~name[:1]))
+        total, ones = (np.add.reduceat(x, at) if len(at) else np.zeros(0) for x in (n, n * ((gram >> _U(7 - bit)) & _U(1))))
+        counts.append((name[at], total - ones, ones))
+    levels = [Level(DEPTH, counts, None)]
+    while levels[-1].depth > TOP + 1:
+        levels.append(Level(levels[-1].depth - 1, *levels[-1].shorter()))
+    return levels
+
+
+def _reached(levels: list[Level], parent: Level | None) -> list[Level]:
+    """Levels, shortest first, reached from `parent`."""
+    out = levels[::-1]
+    for level in out:
+        level.reach(parent)
+        parent = level
+    return out
 
-def slot_of(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and check of nodes."""
-    h = bw.mix(name)
-    return (h >> _U(64 - SLOT_BITS)).astype(np.int64), (h & _U(0xFFFF)).astype(np.uint16)
+
+def log10(gram: np.ndarray, levels: list[Level]) -> np.ndarray:
+    """log10 probability of each gram's byte behind its context, from all levels, shortest first."""
+    out = np.zeros(len(gram))
+    for bit in range(8):
+        one = np.full(len(gram), 0.5)
+        for level in levels:
+            # A node's shorter ones are there too, so the last one found is where the mixture ends.
+            place, there = _place(level.names[bit], _kept_bits(gram, 8 * (level.depth + 1)) >> _U(8 - bit))
+            one[there] = level.one[bit][place[there]]
+        one = np.clip(one, 1e-9, 1 - 1e-9)
+        out += np.log10(np.where((gram >> _U(7 - bit)) & _U(1), one, 1 - one))
+    return out
 
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams and counts of whole buckets, from rows (bucket, gram, n) in order of bucket."""
+    held: list[list[np.ndarray]] = []
     for batch in batches:
-        slot, check = slot_of(batch.column(0).to_numpy().view(np.uint64))
-        zeros, ones, weight = (batch.column(i).to_numpy().astype(float) for i in (1, 2, 4))
-        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(zeros + ones), batch.column(0), pa.array(check.astype(np.int32)), pa.array((ones + 0.5) / (zeros + ones + 1)), pa.array(weight)], ["slot", "seen", "node", "check", "one", "weight"])
+        if not len(batch):
+            continue
+        bucket, gram, n = (batch.column(i).to_numpy() for i in range(3))
+        if sum(len(h[0]) for h in held) >= TOGETHER:
+            ends = int(np.searchsorted(bucket, held[-1][0][-1], "right"))
+            held.append([bucket[:ends], gram[:ends], n[:ends]])
+            bucket, gram, n = bucket[ends:], gram[ends:], n[ends:]
+            if len(bucket):
+                yield np.concatenate([h[1] for h in held]).view(np.uint64), np.concatenate([h[2] for h in held])
+                held = []
+        if len(bucket):
+            held.append([bucket, gram, n])
+    if held:
+        yield np.concatenate([h[1] for h in held]).view(np.uint64), np.concatenate([h[2] for h in held])
 
 
-class Tree:
-    """Slots of a trained tree: check, probability of a 1, weight of that estimate."""
-
-    def __init__(self, slots: np.ndarray, check: np.ndarray, one: np.ndarray, weight: np.ndarray):
-        self.full = np.zeros(1 << SLOT_BITS, bool)
-        self.check = np.zeros(1 << SLOT_BITS, np.uint16)
-        self.one = np.full(1 << SLOT_BITS, 0.5, np.float32)
-        self.weight = np.ones(1 << SLOT_BITS, np.float32)
-        self.full[slots], self.check[slots], self.one[slots], self.weight[slots] = True, check, one, weight
-
-        self.known, self.logs = np.zeros(0, np.uint64), np.zeros(0)
-
-    def log10_kept(self, gram: np.ndarray) -> np.ndarray:
-        """log10() of ascending grams; up to KEPT results are kept from call to call."""
-        if not len(self.known):
-            out = self.log10(gram)
-            self.known, self.logs = gram[:KEPT], out[:KEPT]
-            return out
-        place = np.minimum(np.searchsorted(self.known, gram), len(self.known) - 1)
-        out, new = self.logs[place], np.flatnonzero(self.known[place] != gram)
-        out[new] = self.log10(gram[new])
-        if len(new) and len(self.known) + len(new) <= KEPT:
-            self.known = np.concatenate([self.known, gram[new]])
-            order = np.argsort(self.known, kind="stable")
-            self.known, self.logs = self.known[order], np.concatenate([self.logs, out[new]])[order]
-        return out
-
-    def log10(self, gram: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's byte behind its context."""
-        out = np.zeros(len(gram))
-        for bit in range(8):
-            probability = np.full(len(gram), 0.5)
-            left = np.ones(len(gram))  # weight not yet given to shorter contexts
-            total = np.zeros(len(gram))
-            live = np.ones(len(gram), bool)
-            for depth in range(DEPTH + 1):
-                slot, check = slot_of(nodes(gram, depth, bit))
-                live &= self.full[slot] & (self.check[slot] == check)
-                own = self.one[slot].astype(float)
-                weight = self.weight[slot].astype(float) if depth < DEPTH else np.ones(len(gram))
-                probability = np.where(live, own, probability)
-                total += np.where(live, left * weight * own, 0)
-                left = np.where(live, left * (1 - weight), left)
-            one = total + left * probability
-            one = np.clip(one, 1e-9, 1 - 1e-9)
-            out += np.log10(np.where((gram >> _U(7 - bit)) & _U(1), one, 1 - one))
-        return out
+def _top_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the nodes of TOP bytes: (node, zeros, ones, longer)."""
+    for gram, n in _whole_buckets(batches):
+        counts, longer = _longest(gram, n)[-1].shorter()
+        name = [name >> _U(bit) << _U(8) | _kept_bits(name, bit) | _U(1 << bit) for bit, (name, _, _) in enumerate(counts)]
+        cols = [np.concatenate(x) for x in (name, [c[1] for c in counts], [c[2] for c in counts], longer)]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), *map(pa.array, cols[1:])], ["node", "zeros", "ones", "longer"])
 
 
-def train(texts: DataFrame) -> DataFrame:
-    """Slots (slot, check, one, weight) of the tree for a column of texts; at most 2^SLOT_BITS rows."""
-    counts = texts.mapInArrow(_counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    deepest = counts.mapInArrow(_expand, "node long, zeros long, ones long").groupBy("node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-    level = deepest.withColumn("longer", F.lit(None).cast("double"))
-    levels = []
-    schema = "node long, zeros long, ones long, mixed double, weight double, parent long"
-    for _ in range(DEPTH + 1):
-        level = cut(level.select("node", "zeros", "ones", "longer").mapInArrow(_weigh, schema))
-        levels.append(level)
-        level = level.groupBy(F.col("parent").alias("node")).agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("mixed").alias("longer"))
-    every = levels[0]
-    for level in levels[1:]:
-        every = every.unionByName(level)
-    placed = every.mapInArrow(_placed, "slot int, seen double, node long, check int, one double, weight double")
-    best = placed.groupBy("slot").agg(F.max_by(F.struct("check", "one", "weight"), F.struct("seen", "node")).alias("best"))
-    return best.select("slot", "best.*")
-
-
-def gather(slots: DataFrame) -> Tree:
-    """The tree on the driver: 2^SLOT_BITS slots at most, packed by task before they are sent."""
+def gathered(df: DataFrame, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    """Columns of a bounded frame on the driver, packed by batch before they are sent."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch.column(i).to_numpy() for i in range(4)]
-            raw = [c.astype(t).tobytes() for c, t in zip(cols, ("<i4", "<u2", "<f4", "<f4"), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in raw], ["slot", "check", "one", "weight"])
+            raw = [batch.column(i).to_numpy().astype(t).tobytes() for i, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in raw], [f"c{i}" for i in range(len(kinds))])
 
-    parts = slots.select("slot", "check", "one", "weight").mapInArrow(packed, "slot binary, check binary, one binary, weight binary").toLocalIterator()
-    columns: list[list[np.ndarray]] = [[], [], [], []]
+    parts = df.mapInArrow(packed, ", ".join(f"c{i} binary" for i in range(len(kinds)))).toLocalIterator()
+    columns: list[list[np.ndarray]] = [[] for _ in kinds]
     for row in parts:
-        for held, raw, kind in zip(columns, row, ("<i4", "<u2", "<f4", "<f4"), strict=True):
+        for held, raw, kind in zip(columns, row, kinds, strict=True):
             held.append(np.frombuffer(bytes(raw), kind))
-    return Tree(*(np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns))
+    return [np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(columns, kinds, strict=True)]
+
+
+def train(texts: DataFrame) -> DataFrame:
+    """All grams (bucket, gram, n) of a column of texts; a bucket lies in one partition, in order of bucket."""
+    parts = texts.mapInArrow(_counted, "bucket int, gram long, n long")
+    return cut(parts.repartition("bucket").groupBy("bucket", "gram").agg(F.sum("n").alias("n")).sortWithinPartitions("bucket"))
+
+
+class Tree:
+    """A trained tree: all grams, from which tasks build the nodes of their buckets; the levels up to TOP; the commonest grams' results."""
+
+    def __init__(self, counts: DataFrame, rows: int, top: list[Level], known: np.ndarray, logs: np.ndarray):
+        self.counts, self.rows, self.top = counts, rows, top
+        order = np.argsort(known)
+        self.known, self.logs = known[order], logs[order]
+
+
+def gather(counts: DataFrame) -> Tree:
+    """The tree of all grams (see train); what comes to the driver is bounded."""
+    sums = counts.mapInArrow(_top_sums, "node long, zeros double, ones double, longer double")
+    sums = sums.groupBy("node").agg(F.sum("zeros"), F.sum("ones"), F.sum("longer"))
+    name, zeros, ones, longer = gathered(sums, ("<u8", "<f8", "<f8", "<f8"))
+    own, more = [], []
+    for bit in range(8):
+        there = np.flatnonzero((name & _U(0xFF)) >> _U(bit) == 1)
+        named = name[there] >> _U(8) << _U(bit) | _kept_bits(name[there], bit)
+        order = np.argsort(named)
+        there = there[order]
+        own.append((named[order], zeros[there], ones[there]))
+        more.append(longer[there])
+    levels = [Level(TOP, own, more)]
+    while levels[-1].depth:
+        levels.append(Level(levels[-1].depth - 1, *levels[-1].shorter()))
+    top = _reached(levels, None)
+
+    scale = F.floor(F.log2(F.col("n").cast("double")) * 8)
+    steps = sorted(counts.groupBy(scale.alias("step")).count().collect(), reverse=True)
+    least, room = None, SENT_GRAMS
+    for step, rows in steps:
+        if rows > room:
+            break
+        least, room = step, room - rows
+    if least is None:
+        return Tree(counts, sum(rows for _, rows in steps), top, np.zeros(0, np.uint64), np.zeros(0))
+    sent = counts.sparkSession.sparkContext.broadcast(top)
+
+    def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = sent.value
+        for gram, n in _whole_buckets(batches):
+            often = gram[np.floor(np.log2(n) * 8) >= least]
+            if len(often):
+                logs = log10(often, [*top, *_reached(_longest(gram, n), top[-1])])
+                yield pa.RecordBatch.from_arrays([pa.array(often.view(np.int64)), pa.array(logs)], ["gram", "log"])
+
+    return Tree(counts, sum(rows for _, rows in steps), top, *gathered(counts.mapInArrow(results, "gram long, log double"), ("<u8", "<f8")))
+
+
+def _missed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, key, gram, n) of packed grams (key, missed)."""
+    for batch in batches:
+        size = np.array([len(x.as_buffer()) // 8 for x in batch.column(1)], np.int64)
+        gram = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1)), np.uint64)
+        owner = np.repeat(batch.column(0).to_numpy(), size)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket_of(gram)), pa.array(owner), pa.array(gram.view(np.int64)), pa.array(np.ones(len(gram), np.int64))], ["bucket", "key", "gram", "n"])
+
+
+def gram_sums(missed: DataFrame, tree: Tree) -> DataFrame:
+    """Sums (key, log) of the results of grams (bucket, key, gram, n), each scored in its bucket against all nodes there."""
+    # Neighbouring buckets are put together up to about TOGETHER grams, but not below the number of partitions.
+    parts = max(tree.rows // TOGETHER, spread(missed.sparkSession))
+    shift = max(0, BUCKET_BITS - int(parts - 1).bit_length())
+    sent = missed.sparkSession.sparkContext.broadcast(tree.top)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = sent.value
+        part, held, levels = None, [], None
+        for batch in batches:
+            if not len(batch):
+                continue
+            parts, gram, n = batch.column(0).to_numpy(), batch.column(2).to_numpy().view(np.uint64), batch.column(3).to_numpy()
+            trained = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            keys = batch.column(1).fill_null(0).to_numpy()
+            turns = np.flatnonzero(np.diff(parts * 2 + ~trained, prepend=-1))
+            for a, b in zip(turns, [*turns[1:], len(parts)], strict=True):
+                if parts[a] != part:
+                    part, held, levels = parts[a], [], None
+                if trained[a]:
+                    held.append((gram[a:b], n[a:b]))
+                    continue
+                if levels is None:
+                    every = [np.concatenate([h[i] for h in held]) if held else np.zeros(0, (np.uint64, np.int64)[i]) for i in range(2)]
+                    levels, held = [*top, *_reached(_longest(*every), top[-1])], []
+                kinds, inverse = np.unique(keys[a:b], return_inverse=True)
+                sums = np.bincount(inverse, log10(gram[a:b], levels) * n[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(sums)], ["key", "log"])
+
+    known = tree.counts.select("bucket", F.lit(None).cast("long").alias("key"), "gram", "n")
+    every = known.unionByName(missed).select(F.call_function("shiftright", "bucket", F.lit(shift)).alias("part"), "key", "gram", "n")
+    # A part's training grams come first, as their key is null.
+    every = every.repartition("part").sortWithinPartitions("part", "key")
+    return every.mapInArrow(score, "key long, log double").groupBy("key").agg(F.sum("log").alias("log"))
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,12 +452,12 @@ def count_words(texts: DataFrame) -> tuple[DataFrame, Words]:
 def scores(docs: DataFrame, tree: Tree, known: Words, rest: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_tokens, n_known, n_bytes, base_score, score): log10 probabilities of each whole text."""
     context = docs.sparkSession.sparkContext
-    sent, common = context.broadcast(tree), context.broadcast(known)
+    sent, common = context.broadcast((tree.known, tree.logs)), context.broadcast(known)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, words = sent.value, common.value
+        (often, results), words = sent.value, common.value
         for batch in batches:
             data, offsets = bw.buffers(batch.column(2))
             for a, b in bw.chunks(offsets):
@@ -338,15 +465,21 @@ def scores(docs: DataFrame, tree: Tree, known: Words, rest: DataFrame, id_col: s
                 own = data[part[0] : part[-1]]
                 code, begin = code_bytes(own, part - part[0])
                 kinds, inverse = np.unique(grams(code, begin), return_inverse=True)
-                logs = np.add.reduceat(tree.log10_kept(kinds)[inverse], begin[:-1])
+                place, there = _place(often, kinds)
+                logs = np.zeros(len(kinds))
+                logs[there] = results[place[there]]
+                logs = np.add.reduceat(logs[inverse], begin[:-1])
+                elsewhere = np.flatnonzero(~there[inverse])
+                bounds = np.searchsorted(elsewhere, begin) * 8
+                missed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(bounds), pa.py_buffer(kinds[inverse[elsewhere]])]).cast(pa.binary())
                 hashes, at = bw.word_hashes(own, part - part[0])
                 n = words.counts(hashes)
                 owner = np.repeat(np.arange(b - a), np.diff(at))
                 sums = lambda x: np.bincount(owner, x, b - a)
                 base = sums(np.where(n > 0, np.log10(np.maximum(n, 0) + 0.1) - words.log_all, 0)) + np.log10(words.ends + 0.1) - words.log_all
                 found = sums(n > 0) + (words.ends > 0)
-                cols = [pa.array(np.diff(at) + 1), pa.array(found.astype(np.int64)), pa.array(np.diff(begin)), pa.array(base), pa.array(logs)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), *cols], ["doc_id", "key", "n_tokens", "n_common", "n_bytes", "base", "score"])
+                cols = [pa.array(np.diff(at) + 1), pa.array(found.astype(np.int64)), pa.array(np.diff(begin)), pa.array(base), pa.array(logs), missed]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), *cols], ["doc_id", "key", "n_tokens", "n_common", "n_bytes", "base", "score", "missed"])
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = common.value
@@ -360,14 +493,16 @@ def scores(docs: DataFrame, tree: Tree, known: Words, rest: DataFrame, id_col: s
                 owner = np.repeat(keys[a:b], np.diff(at))[there]
                 yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(hashes[there].view(np.int64))], ["key", "word"])
 
-    first = rows.mapInArrow(score, f"doc_id {kind}, key long, n_tokens long, n_common long, n_bytes long, base double, score double")
-    # The same row more than once gives its rare words as often; the mean over its copies is one row's part.
-    first = first.withColumn("copies", F.count("*").over(Window.partitionBy("key")))
+    first = rows.mapInArrow(score, f"doc_id {kind}, key long, n_tokens long, n_common long, n_bytes long, base double, score double, missed binary")
+    first = cut(first)
+    logs = gram_sums(first.where("length(missed) > 0").select("key", "missed").mapInArrow(_missed, "bucket int, key long, gram long, n long"), tree)
+    # The same row more than once gives its rare words and grams as often; the mean over its copies is one row's part.
+    first = first.drop("missed").withColumn("copies", F.count("*").over(Window.partitionBy("key")))
     found = rows.select("key", "text").mapInArrow(rare, "key long, word long").join(rest, "word", "left")
     found = found.groupBy("key").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.1) - known.log_all).alias("more"), F.count("n").alias("n_rare"))
-    out = first.join(found, "key", "left").na.fill(0, ["more", "n_rare"])
+    out = first.join(found, "key", "left").join(logs, "key", "left").na.fill(0, ["more", "n_rare", "log"])
     n_known = F.col("n_common") + (F.col("n_rare") / F.col("copies")).cast("long")
-    return out.select("doc_id", "n_tokens", n_known.alias("n_known"), "n_bytes", (F.col("base") + F.col("more") / F.col("copies")).alias("base_score"), "score")
+    return out.select("doc_id", "n_tokens", n_known.alias("n_known"), "n_bytes", (F.col("base") + F.col("more") / F.col("copies")).alias("base_score"), (F.col("score") + F.col("log") / F.col("copies")).alias("score"))
 
 
 def op6_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:

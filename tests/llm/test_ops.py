@@ -395,6 +395,57 @@ def test_tree_by_hand(spark, docs):
         assert rows[i]["n_bytes"] == len(s)
 
 
+def test_no_node_is_left_out(spark, monkeypatch):
+    """Every node against a tree of plain dicts; most grams take the way through the buckets."""
+    from itertools import product
+
+    monkeypatch.setattr(ctw, "SENT_GRAMS", 200)
+    texts = [t for (t,) in duckdb.sql(f"SELECT text FROM read_parquet('{DATA}/documents.parquet') ORDER BY doc_id LIMIT 60").fetchall()]
+    coded = [b"\n" * ctw.DEPTH + b" ".join(x.encode() for x in words(t.translate(LOWER))) + b"\n" for t in texts]
+
+    def path(s, i, bit):
+        return [(s[i - d : i], (0x100 | s[i]) >> (8 - bit)) for d in range(ctw.DEPTH + 1)], s[i] >> (7 - bit) & 1
+
+    seen = collections.defaultdict(lambda: [0, 0])
+    for s in coded[:40]:
+        for i, bit in product(range(ctw.DEPTH, len(s)), range(8)):
+            nodes, one = path(s, i, bit)
+            for node in nodes:
+                seen[node][one] += 1
+    assert len(seen) > 20_000
+    kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - 2 * math.lgamma(0.5)
+    longer, weight = collections.defaultdict(float), {}
+    for node in sorted(seen, key=lambda x: -len(x[0])):
+        own = kt(*seen[node])
+        both = own if len(node[0]) == ctw.DEPTH else np.logaddexp(own, longer[node])
+        weight[node] = math.exp(own - both)
+        if node[0]:
+            longer[node[0][1:], node[1]] += both - (math.log(2) if len(node[0]) < ctw.DEPTH else 0)
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = df.where("doc_id < 40").select("text")
+    tree = ctw.gather(ctw.train(train))
+    rest, known = ctw.count_words(train)
+    # A repeated row gets the whole score, not its copies' part.
+    got = collections.defaultdict(list)
+    for r in ctw.scores(df.unionByName(df.where("doc_id = 50")), tree, known, rest).collect():
+        got[r["doc_id"]].append(r["score"])
+    assert len(tree.known) <= 200 and len(got[50]) == 2
+    for k, s in enumerate(coded):
+        want = 0.0
+        for i, bit in product(range(ctw.DEPTH, len(s)), range(8)):
+            nodes, one = path(s, i, bit)
+            p, left, own = 0.0, 1.0, 0.5
+            for node in nodes:
+                if node not in seen:
+                    break
+                own = (seen[node][1] + 0.5) / (sum(seen[node]) + 1)
+                p, left = p + left * weight[node] * own, left * (1 - weight[node])
+            p += left * own
+            want += math.log10(p if one else 1 - p)
+        assert got[k] == pytest.approx([want] * len(got[k]), rel=1e-7)
+
+
 def test_base_scores_and_held_out_gain(spark, monkeypatch):
     monkeypatch.setattr(ctw, "SENT_WORDS", 50)  # most words take the joined way
     got = {r["doc_id"]: r for r in ctw.op6_context_tree_score(spark, DATA).collect()}
