@@ -30,7 +30,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the least id."""
+    """One document of each near-duplicate group: the one with the least id.
+
+    Linked are texts at a similarity of 0.85 or more over 5-word shingles, as in op3: within "0.8 or more", and a
+    pair from 0.80 to 0.85 is kept.
+    """
     found = cut(minhash.near_duplicates(docs))
     dropped = found.where("not kept").select("doc_id").distinct()
     repeated = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
