@@ -4,7 +4,10 @@ The merge list decides how far the text to the right can reach back (`lookahead`
 A token whose end lies at least that many bytes before the end of what has been read
 cannot change any more; it is emitted and its bytes are forgotten, so a run of letters
 of any length is encoded in constant memory. Texts are cut into pretokens as arrays
-over code points; a pretoken's ids are looked up by its hash and made once per worker.
+over code points; a pretoken's ids are looked up by its text and made once per worker.
+A pretoken that ends within the lookahead is stable only when it ends, so all such ones of a
+chunk are merged together; longer ones go through the stream. Texts longer than a chunk
+are taken in parts that end where a pretoken ends.
 
 Rows: a null text counts as empty: no ids, an empty decoded text. The text of an added
 token (such as an end mark) is that token, as in the tokenizers library. Any id may
@@ -260,12 +263,40 @@ class Encoder:
 
         self.make, self.keep, self.known, self.older = make, keep, {}, {}
         self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
-        self.value = bw.mix(np.arange(1, 0x110001, dtype=np.uint64))
+        self.cuts = not any(c.isspace() for mark in added for c in mark)
 
     def chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in turn, and where each text's begin."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        if len(offsets) == 2 and len(data) > bw.CHUNK:
+            ids = np.concatenate([self._chunk(x, np.array([0, len(x)]))[0] for x in self.pieces(data)])
+            return ids, np.array([0, len(ids)])
+        return self._chunk(data, offsets)
+
+    def pieces(self, data: np.ndarray, size: int = bw.CHUNK) -> Iterator[np.ndarray]:
+        """A long text in parts of about `size` bytes, parted before a blank between two bytes that are no white space.
+
+        A pretoken always begins there. A text without such a place is one part.
+        """
+        a = 0
+        while self.cuts and len(data) - a > size:
+            near = data[a + size // 2 : len(data)]
+            for i in range(0, len(near), size):
+                part = near[i : i + size + 2]
+                # Beyond ASCII there is white space too, so only ASCII bytes count as none.
+                plain = (part > 0x20) & (part < 0x7F)
+                found = np.flatnonzero(plain[:-2] & (part[1:-1] == 0x20) & plain[2:])
+                if len(found):
+                    break
+            else:
+                break
+            b = a + size // 2 + i + int(found[0]) + 1
+            yield data[a:b]
+            a = b
+        yield data[a:]
+
+    def _chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         text = data.tobytes().decode("utf-8", "replace")
         at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
@@ -276,8 +307,9 @@ class Encoder:
         for a, b in marks:
             starts = starts[(starts <= a) | (starts >= b)]
         ends = np.append(starts[1:], len(points))
-        kinds, first, kind = np.unique(bw.span_hash(self.value[points], starts, ends), return_index=True, return_inverse=True)
-        keys = kinds.tolist()
+        lead = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        first, kind = bw.span_kinds(data, lead[starts], lead[ends])
+        keys = [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         packed = list(map(self.known.get, keys))
         new = [j for j, x in enumerate(packed) if x is None]
         for j in new if self.older else ():
@@ -286,10 +318,9 @@ class Encoder:
         if new := [j for j in new if packed[j] is None]:
             if len(self.known) > self.keep:
                 self.known, self.older = {}, self.known
-            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
-            for j, ids in zip(new, self.make([text[a:b] for a, b in spans]), strict=True):
+            for j, ids in zip(new, self.make([keys[j] for j in new]), strict=True):
                 packed[j] = np.array(ids, np.uint32).tobytes()
-                if len(packed[j]) < 256:
+                if len(keys[j]) <= bw.LONG:
                     self.known[keys[j]] = packed[j]
         flat = np.frombuffer(b"".join(packed), np.uint32)
         size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom.llm import bytewords as bw
@@ -34,7 +34,6 @@ from strataloom.llm.common import crc_mod, cut, spread, table
 DEPTH = 5
 #: Bytes of context up to which nodes are sent to every task; buckets of grams (a power of two); grams worked on at once.
 TOP, BUCKET_BITS, TOGETHER = 2, 16, 100_000
-END, BLANK = 0x0A, 0x20
 #: Grams whose result, and words whose count, is sent to every task (the others' are joined).
 SENT_GRAMS, SENT_WORDS = 1 << 21, 1 << 20
 _U = np.uint64
@@ -42,23 +41,7 @@ _U = np.uint64
 
 def code_bytes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes to code for each text of a chunk, in turn, and where each text's begin."""
-    n = len(offsets) - 1
-    starts, ends, at = bw.words(data, offsets)
-    size = ends - starts
-    # Every word with the mark behind it: a blank, or the end after a text's last word.
-    place = np.concatenate([[0], np.cumsum(size + 1)])
-    empty = np.flatnonzero(np.diff(at) == 0)
-    out = np.full(place[-1], BLANK, np.uint8)
-    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    out[np.repeat(place[:-1], size) + within] = bw.LOWER[data[np.repeat(starts, size) + within]]
-    begin = place[at]
-    last = at[1:][np.diff(at) > 0]
-    out[place[last] - 1] = END
-    if len(empty):
-        out = np.insert(out, begin[empty], END)
-        begin = begin + np.concatenate([[0], np.cumsum(np.diff(at) == 0)])
-    assert len(begin) == n + 1
-    return out, begin
+    return bw.plain(bw.LOWER[data], *bw.words(data, offsets))
 
 
 def grams(code: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -66,9 +49,9 @@ def grams(code: np.ndarray, begin: np.ndarray) -> np.ndarray:
     out = code.astype(np.uint64)
     behind = np.arange(len(code)) - np.repeat(begin[:-1], np.diff(begin))
     for d in range(1, DEPTH + 1):
-        before = np.full(len(code), END, np.uint64)
+        before = np.full(len(code), bw.END, np.uint64)
         before[d:] = code[:-d] if d < len(code) else code[:0]
-        before[behind < d] = END
+        before[behind < d] = bw.END
         out |= before << _U(8 * d)
     return out
 
@@ -388,49 +371,60 @@ def gram_sums(missed: DataFrame, tree: Tree) -> DataFrame:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def flush() -> pa.RecordBatch:
-        kinds, inverse = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-        sums = np.bincount(inverse, np.concatenate([c for _, c in held])).astype(np.int64)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(sums)], ["word", "n"])
-
+    """Words of training texts with counts, summed over a few chunks at a time."""
+    held: list[pa.Table] = []
     for batch in batches:
         data, offsets = bw.buffers(batch.column(0))
         for a, b in bw.chunks(offsets):
             part = offsets[a : b + 1]
-            held.append(np.unique(bw.word_hashes(data[part[0] : part[-1]], part - part[0])[0], return_counts=True))
-            if sum(len(k) for k, _ in held) > 500_000:
-                yield flush()
+            own = bw.LOWER[data[part[0] : part[-1]]]
+            starts, ends, _ = bw.words(own, part - part[0])
+            first, kind = bw.span_kinds(own, starts, ends)
+            held.append(pa.table({"word": bw.span_array(own, starts[first], ends[first]), "n": np.bincount(kind, minlength=len(first))}))
+            if sum(map(len, held)) > 500_000:
+                held = [_summed(held)]
+                if len(held[0]) > 250_000:
+                    yield from held.pop().to_batches()
     if held:
-        yield flush()
+        yield from _summed(held).to_batches()
 
 
-class Words:
-    """Counts of the training texts' commonest words, by hash, and the sums over all words."""
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"]).combine_chunks()
 
-    def __init__(self, words: np.ndarray, n: np.ndarray, ends: int, total: int, distinct: int, below: int):
-        order = np.argsort(words)
-        self.words, self.n = words[order], n[order]
-        self.ends, self.total, self.below = ends, total, below  # below: words with fewer are not here
+
+class Words:
+    """Counts of the training texts' commonest words, found by hash and told by their bytes, and the sums over all words."""
+
+    def __init__(self, words: list[bytes], n: list[int], ends: int, total: int, distinct: int):
+        self.data = np.frombuffer(b"".join(words), np.uint8)
+        size = np.array([len(w) for w in words], np.int64)
+        self.ends_at, self.n = np.cumsum(size), np.array(n, np.int64)
+        self.starts = self.ends_at - size
+        hashes = bw.span_hash(self.data, self.starts, self.ends_at)
+        # Of words that share a hash one is found here; the others are counted by the join, as all rare words are.
+        self.hashes, self.place = np.unique(hashes, return_index=True)
+        self.ends, self.total = ends, total
         self.log_all = float(np.log10(total + 0.1 * (distinct + 1)))
 
-    def counts(self, words: np.ndarray) -> np.ndarray:
-        """Counts, -1 where a word is not among the commonest."""
-        if not len(self.words):
-            return np.full(len(words), -1, np.int64)
-        place = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[place] == words, self.n[place], -1)
+    def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Counts of words, -1 where one is not among the commonest."""
+        place, there = _place(self.hashes, bw.span_hash(data, starts, ends))
+        out = np.full(len(starts), -1, np.int64)
+        at, own = np.flatnonzero(there), self.place[place[there]] if there.any() else np.zeros(0, np.int64)
+        same = bw.equal_spans(data, starts[at], ends[at], self.data, self.starts[own], self.ends_at[own])
+        out[at[same]] = self.n[own[same]]
+        return out
 
 
 def count_words(texts: DataFrame) -> tuple[DataFrame, Words]:
-    """Counts (word, n) of all words, and the commonest of them on the driver: SENT_WORDS at most, by a least count."""
-    counts = cut(texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    """Counts (word, n) of all words, and the commonest of them on the driver: SENT_WORDS of up to 64 bytes at most, by a least count."""
+    counts = cut(texts.mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     ends = texts.count()
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("words")).first()
+    short = counts.where(F.length("word") <= bw.LONG)
     scale = F.floor(F.log2(F.col("n").cast("double")) * 8)
-    steps = sorted(counts.groupBy(scale.alias("step")).count().collect(), reverse=True)
+    steps = sorted(short.groupBy(scale.alias("step")).count().collect(), reverse=True)
     least, room = None, SENT_WORDS
     for step, words in steps:
         if words > room:
@@ -439,31 +433,38 @@ def count_words(texts: DataFrame) -> tuple[DataFrame, Words]:
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([batch.column(i).to_numpy().tobytes()], pa.binary()) for i in range(2)], ["word", "n"])
+            size = [x.as_buffer().size for x in batch.column(0)]
+            cells = (b"".join(x.as_buffer() for x in batch.column(0)), np.array(size, np.uint8).tobytes(), batch.column(1).to_numpy().tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in cells], ["words", "size", "n"])
+
+    words, n = [], []
+    if least is not None:
+        for text, size, many in short.where(scale >= least).select("word", "n").mapInArrow(packed, "words binary, size binary, n binary").toLocalIterator():
+            ends_at = np.cumsum(np.frombuffer(bytes(size), np.uint8), dtype=np.int64).tolist()
+            words += [bytes(text[a:b]) for a, b in zip([0, *ends_at], ends_at, strict=False)]
+            n += np.frombuffer(bytes(many), np.int64).tolist()
+    return counts, Words(words, n, ends, (sums["n"] or 0) + ends, sums["words"] + (ends > 0))
 
-    often = counts.where(scale >= least) if least is not None else counts.limit(0)
-    parts = often.select("word", "n").mapInArrow(packed, "word binary, n binary").toLocalIterator()
-    pairs = [(np.frombuffer(bytes(w), np.uint64), np.frombuffer(bytes(n), np.int64)) for w, n in parts]
-    words, n = (np.concatenate([p[i] for p in pairs]) if pairs else np.zeros(0, (np.uint64, np.int64)[i]) for i in range(2))
-    rest = counts.where(scale < least) if least is not None else counts
-    return rest, Words(words, n, ends, (sums["n"] or 0) + ends, sums["words"] + (ends > 0), 0)
 
+def scores(docs: DataFrame, tree: Tree, known: Words, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (doc_id, n_tokens, n_known, n_bytes, base_score, score): log10 probabilities of each whole text.
 
-def scores(docs: DataFrame, tree: Tree, known: Words, rest: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_tokens, n_known, n_bytes, base_score, score): log10 probabilities of each whole text."""
+    What a task cannot score by itself, rare grams and rare words, is kept beside the row and joined by the row's number.
+    """
     context = docs.sparkSession.sparkContext
     sent, common = context.broadcast((tree.known, tree.logs)), context.broadcast(known)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (often, results), words = sent.value, common.value
         for batch in batches:
-            data, offsets = bw.buffers(batch.column(2))
+            data, offsets = bw.buffers(batch.column(1))
             for a, b in bw.chunks(offsets):
                 part = offsets[a : b + 1]
-                own = data[part[0] : part[-1]]
-                code, begin = code_bytes(own, part - part[0])
+                own = bw.LOWER[data[part[0] : part[-1]]]
+                starts, ends, at = bw.words(own, part - part[0])
+                code, begin = bw.plain(own, starts, ends, at)
                 kinds, inverse = np.unique(grams(code, begin), return_inverse=True)
                 place, there = _place(often, kinds)
                 logs = np.zeros(len(kinds))
@@ -472,37 +473,24 @@ def scores(docs: DataFrame, tree: Tree, known: Words, rest: DataFrame, id_col: s
                 elsewhere = np.flatnonzero(~there[inverse])
                 bounds = np.searchsorted(elsewhere, begin) * 8
                 missed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(bounds), pa.py_buffer(kinds[inverse[elsewhere]])]).cast(pa.binary())
-                hashes, at = bw.word_hashes(own, part - part[0])
-                n = words.counts(hashes)
+                first, word = bw.span_kinds(own, starts, ends)
+                n = words.counts(own, starts[first], ends[first])[word]
                 owner = np.repeat(np.arange(b - a), np.diff(at))
                 sums = lambda x: np.bincount(owner, x, b - a)
                 base = sums(np.where(n > 0, np.log10(np.maximum(n, 0) + 0.1) - words.log_all, 0)) + np.log10(words.ends + 0.1) - words.log_all
                 found = sums(n > 0) + (words.ends > 0)
-                cols = [pa.array(np.diff(at) + 1), pa.array(found.astype(np.int64)), pa.array(np.diff(begin)), pa.array(base), pa.array(logs), missed]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), *cols], ["doc_id", "key", "n_tokens", "n_common", "n_bytes", "base", "score", "missed"])
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = common.value
-        for batch in batches:
-            data, offsets = bw.buffers(batch.column(1))
-            keys = batch.column(0).to_numpy()
-            for a, b in bw.chunks(offsets):
-                part = offsets[a : b + 1]
-                hashes, at = bw.word_hashes(data[part[0] : part[-1]], part - part[0])
-                there = np.flatnonzero(words.counts(hashes) < 0)
-                owner = np.repeat(keys[a:b], np.diff(at))[there]
-                yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(hashes[there].view(np.int64))], ["key", "word"])
+                rare = np.flatnonzero(n < 0)
+                lists = pa.ListArray.from_arrays(np.searchsorted(rare, at).astype(np.int32), bw.span_array(own, starts[rare], ends[rare]))
+                cols = [pa.array(np.diff(at) + 1), pa.array(found.astype(np.int64)), pa.array(np.diff(begin)), pa.array(base), pa.array(logs), missed, lists]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols], ["doc_id", "n_tokens", "n_common", "n_bytes", "base", "score", "missed", "rare"])
 
-    first = rows.mapInArrow(score, f"doc_id {kind}, key long, n_tokens long, n_common long, n_bytes long, base double, score double, missed binary")
-    first = cut(first)
+    first = rows.mapInArrow(score, f"doc_id {kind}, n_tokens long, n_common long, n_bytes long, base double, score double, missed binary, rare array<binary>")
+    first = cut(first.withColumn("key", F.monotonically_increasing_id()))
     logs = gram_sums(first.where("length(missed) > 0").select("key", "missed").mapInArrow(_missed, "bucket int, key long, gram long, n long"), tree)
-    # The same row more than once gives its rare words and grams as often; the mean over its copies is one row's part.
-    first = first.drop("missed").withColumn("copies", F.count("*").over(Window.partitionBy("key")))
-    found = rows.select("key", "text").mapInArrow(rare, "key long, word long").join(rest, "word", "left")
+    found = first.select("key", F.explode("rare").alias("word")).join(counts, "word", "left")
     found = found.groupBy("key").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.1) - known.log_all).alias("more"), F.count("n").alias("n_rare"))
-    out = first.join(found, "key", "left").join(logs, "key", "left").na.fill(0, ["more", "n_rare", "log"])
-    n_known = F.col("n_common") + (F.col("n_rare") / F.col("copies")).cast("long")
-    return out.select("doc_id", "n_tokens", n_known.alias("n_known"), "n_bytes", (F.col("base") + F.col("more") / F.col("copies")).alias("base_score"), (F.col("score") + F.col("log") / F.col("copies")).alias("score"))
+    out = first.drop("missed", "rare").join(found, "key", "left").join(logs, "key", "left").na.fill(0, ["more", "n_rare", "log"])
+    return out.select("doc_id", "n_tokens", (F.col("n_common") + F.col("n_rare")).alias("n_known"), "n_bytes", (F.col("base") + F.col("more")).alias("base_score"), (F.col("score") + F.col("log")).alias("score"))
 
 
 def op6_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -511,6 +499,6 @@ def op6_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_mod("doc_id", 10) == 0
     texts = docs.where(~held_out).select("text")
     tree = gather(train(texts))
-    rest, known = count_words(texts)
-    out = scores(docs, tree, known, rest).withColumn("held_out", held_out).withColumn("train_tokens", F.lit(known.total).cast("long"))
+    counts, known = count_words(texts)
+    out = scores(docs, tree, known, counts).withColumn("held_out", held_out).withColumn("train_tokens", F.lit(known.total).cast("long"))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes")

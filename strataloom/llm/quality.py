@@ -76,12 +76,12 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     length = (ends - starts).astype(float)
     mean = _within(length, at) / many
     spread = np.sqrt(np.maximum(_within(length**2, at) / many - mean**2, 0))
-    hashes = bw.span_hash(bw.BYTE_VALUE_LOWER[data], starts, ends) if len(data) else np.zeros(0, np.uint64)
+    hashes = bw.span_hash(bw.LOWER[data], starts, ends) if len(data) else np.zeros(0, np.uint64)
     distinct, commonest = _repeats(hashes, at)
     again = np.zeros(len(hashes), bool)
     again[1:] = hashes[1:] == hashes[:-1]
     again[at[:-1][at[:-1] < len(hashes)]] = False
-    sh, begin = bw.shingles(hashes, at)
+    sh, begin, _ = bw.shingles(hashes, at)
     n_sh = np.maximum(np.diff(begin), 1)
     first, last = (kinds[starts], kinds[ends - 1]) if len(starts) else (np.zeros(0, np.uint8), np.zeros(0, np.uint8))
     before_last = kinds[np.maximum(ends - 2, 0)] if len(starts) else last
@@ -97,7 +97,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         line_first[offsets[:-1][size > 0]] = True
     line_start = np.flatnonzero(line_first)
     line_at = np.searchsorted(line_start, offsets)
-    line_hash = bw.span_hash(bw.BYTE_VALUE[data], line_start, np.append(line_start[1:], len(data))) if len(line_start) else np.zeros(0, np.uint64)
+    line_hash = bw.span_hash(data, line_start, np.append(line_start[1:], len(data))) if len(line_start) else np.zeros(0, np.uint64)
     lines = np.diff(line_at).astype(float)
     stop = data[ends - 1] if len(starts) else np.zeros(0, np.uint8)
     per_word = lambda x: _within(x, at) / many

@@ -187,10 +187,13 @@ def test_block_pairs_are_exact():
     import pyarrow as pa
 
     rng = np.random.default_rng(1)
-    sets_ = [np.unique(rng.choice(60, 40).astype(np.uint64)) for _ in range(40)] + [np.arange(30, dtype=np.uint64)] * 3
-    table = pa.table({"rep": np.arange(43), "side": [0] * 20 + [1] * 23, "shingles": pa.array([s.tobytes() for s in sets_], pa.binary())})
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(w if rng.random() > 0.012 else f"x{rng.integers(3)}" for w in base[: rng.integers(50, 61)]) for _ in range(40)] + [" ".join(base[:30])] * 3
+    table = pa.table({"rep": np.arange(43), "side": [0] * 20 + [1] * 23, "text": pa.array([t.encode() for t in texts], pa.binary())})
     got = minhash._block_pair(table).to_pylist()
-    share = lambda i, j: len(np.intersect1d(sets_[i], sets_[j])) * 100 >= 85 * len(np.union1d(sets_[i], sets_[j]))
+    sets_ = sets(texts)
+    share = lambda i, j: len(sets_[i] & sets_[j]) * 100 >= 85 * len(sets_[i] | sets_[j])
+    assert 20 < sum(share(i, j) for i in range(20) for j in range(20, 43)) < 400
     least = list(range(43))
     for _ in range(43):
         for i in range(20):
@@ -200,6 +203,92 @@ def test_block_pairs_are_exact():
     assert {(r["u"], r["v"]) for r in got} == {(i, v) for i, v in enumerate(least) if i != v}
 
 
+def test_large_components_are_not_compared_again(spark, monkeypatch):
+    """A hot group in pure blocks, texts that link to it by one member only, and others of its words that do not link."""
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 2000)
+    rng = np.random.default_rng(6)
+    base = [f"v{i}" for i in range(120)]
+    texts = []
+    for i in range(150):
+        own = list(base)
+        own[int(rng.integers(0, 120))] = f"n{i}"
+        texts.append(" ".join(own))
+    texts += [" ".join([*base[:72], *(f"o{i}x{j}" for j in range(48))]) for i in range(60)]
+    texts += [" ".join([*base[:110], *(f"p{i}" for i in range(10))]), " ".join(base[:113])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = near_components(list(range(len(texts))), texts)
+    for matches in (minhash.MATCHES, 1):
+        assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, matches=matches).collect()} == want
+
+
+# words that are easily taken for another
+
+
+def thue_morse(n):
+    """Two different words of the same counts, on which polynomial hashes modulo a power of two agree."""
+    ones = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[x] for x in ones), "".join("ba"[x] for x in ones)
+
+
+def test_alike_words_are_told_apart(spark, library):
+    from strataloom.llm import bytewords as bw
+
+    texts = [w for n in (64, 1024, 4096) for w in thue_morse(n)]
+    texts += [f"{w} tail" for w in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for parts in (1, 5):
+        found = minhash.near_duplicates(df.repartition(parts)).collect()
+        assert all(r["kept"] and r["n_shingles"] == 1 for r in found)
+        got = {r["doc_id"]: r["ids_sha256"] for r in bpe.digests(df.repartition(parts)).collect()}
+        assert all(got[i] == hashlib.sha256(",".join(map(str, library.encode(t, add_special_tokens=False).ids)).encode()).hexdigest() for i, t in enumerate(texts))
+    train = df.where("doc_id % 2 = 0").select("text")
+    counts, known = ctw.count_words(train)
+    rows = {r["doc_id"]: r for r in ctw.scores(df, ctw.gather(ctw.train(train)), known, counts).collect()}
+    assert [rows[i]["n_known"] for i in range(len(texts))] == [2, 1, 2, 1, 2, 1, 3, 2, 3, 2, 3, 2]
+    assert len(bw.span_kinds(np.frombuffer("".join(texts[:2]).encode(), np.uint8), np.array([0, 64]), np.array([64, 128]))[0]) == 2
+
+
+def test_words_of_one_hash_stay_apart(monkeypatch, library):
+    """With three bits of hash, nearly all words collide; nothing may change."""
+    import pyarrow as pa
+
+    from strataloom.llm import bytewords as bw
+
+    texts = [t for (t,) in duckdb.sql(f"SELECT text FROM read_parquet('{DATA}/documents.parquet') ORDER BY doc_id LIMIT 30").fetchall()]
+    good, shingled = bw.span_hash, bw.shingles
+    monkeypatch.setattr(bw, "span_hash", lambda *a: good(*a) & np.uint64(7))
+    monkeypatch.setattr(bw, "shingles", lambda *a: (lambda h, *rest: (h & np.uint64(3), *rest))(*shingled(*a)))
+    encoder = bpe.Encoder(list(bpe.merges(bpe.VOCABULARY).added), bpe.merges(bpe.VOCABULARY).encode)
+    for a, b, ids, begin in encoder.texts(pa.array(texts)):
+        for i in range(a, b):
+            assert ids[begin[i - a] : begin[i - a + 1]].tolist() == library.encode(texts[i], add_special_tokens=False).ids
+    signed = pa.Table.from_batches(minhash._sign(iter([pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(texts)], ["doc_id", "text"])])))
+    assert signed.column("n_shingles").to_pylist() == [len(s) for s in sets(texts)]
+    ours = minhash._sets([pa.py_buffer(t.encode()) for t in texts])
+    assert [[len(np.intersect1d(x, y)) for x in ours] for y in ours] == [[len(x & y) for x in sets(texts)] for y in sets(texts)]
+    words_ = ctw.Words([b"one", b"two", b"three"], [5, 6, 7], 0, 18, 3)
+    data = np.frombuffer(b"twoonefourthree", np.uint8)
+    found = words_.counts(data, np.array([0, 3, 6, 10]), np.array([3, 6, 10, 15])).tolist()
+    assert found[2] == -1 and all(f in (-1, n) for f, n in zip(found, [6, 5, -1, 7], strict=True)) and max(found) > 0
+
+
+def test_long_texts_are_encoded_in_parts(library):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    bits = ["word", " ", "  ", "\n", "é", "日本", "don't", "<|endoftext|>", "\u00a0", "12", "!?", " a", "\t"]
+    text = "".join(rng.choice(bits, 4000))
+    encoder = bpe.own_encoder(bpe.VOCABULARY)
+    data = np.frombuffer(text.encode(), np.uint8)
+    parts = list(encoder.pieces(data, 300))
+    assert len(parts) > 20 and b"".join(p.tobytes() for p in parts) == text.encode()
+    assert [i for p in parts for i in encoder._chunk(p, np.array([0, len(p)]))[0].tolist()] == library.encode(text, add_special_tokens=False).ids
+    long = "many words in a row " * 40_000
+    (_, _, ids, _) = next(encoder.texts(pa.array([long])))
+    assert ids.tolist() == library.encode(long, add_special_tokens=False).ids
+    assert len(list(encoder.pieces(np.frombuffer(b"x" * 5000, np.uint8), 300))) == 1
+
+
 # 4 and 10 tokens
 
 
@@ -363,14 +452,6 @@ def test_tree_by_hand(spark, docs):
         mixed[node] = own if deep else np.logaddexp(own, longer) - math.log(2)
         weight[node] = 1.0 if deep else math.exp(own - np.logaddexp(own, longer))
 
-    # Of nodes that meet in a slot, the one seen most often stays.
-    name = {n: n[1] | int.from_bytes(n[0], "big") << 8 | len(n[0]) << 56 for n in seen}
-    slot = dict(zip(name, ctw.slot_of(np.array(list(name.values()), np.uint64))[0].tolist(), strict=True))
-    best = {}
-    for n in sorted(seen, key=lambda n: (sum(seen[n]), name[n])):
-        best[slot[n]] = n
-    seen = {n: seen[n] for n in best.values()}
-
     def log10(s):
         total, past = 0.0, b"\n" * ctw.DEPTH + s
         for i, byte in enumerate(s):
