@@ -1,11 +1,14 @@
 """Chat formatting in budgeted windows, in DataFrame functions only.
 
-Prefix sums of turn tokens cut a conversation into turn-aligned spans of about
-`BUDGET` - `HISTORY` tokens: a turn is new in window floor(tokens before it / span). A later window
-begins with the conversation's first system turn, then with the turns just before it that fit in
-`HISTORY` tokens; these repeats are marked by their number. Only an assistant text that
-is new in a window is under its loss mask, so each is a target once. A turn is never
-cut: one that is longer than the span makes its window longer.
+Prefix sums of turn tokens cut a conversation into turn-aligned spans: a window is closed before the
+turn that would take it above `budget` tokens. A later window begins with the conversation's first
+system turn, then with the turns just before it that fit in `history` tokens; room for both is kept
+free. These repeats are marked by their number. Only an assistant text that is new in a window is
+under its loss mask, so each is a target once. A turn is never cut: one that does not fit at all
+has a window of its own, the only kind that may be above the budget.
+
+The cuts of a conversation are found in sections of `SECTION` windows' tokens, each of which begins a
+window, so the work grows in proportion to the turns of a conversation.
 
 A turn is written `<s>role LF text</s>`. Control strings inside texts get a backslash
 behind their first character, and those that look escaped already get one more, so
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 
 from strataloom.llm.common import table
 
-BUDGET, HISTORY = 1024, 256
+BUDGET, HISTORY, SECTION = 1024, 256, 8
+#: Tokens of a turn beside its words.
+FRAME = 4
 #: Control strings that are escaped in texts (fixed values of the public template): <s> </s> [INST] [/INST] <<SYS>> <</SYS>>
 _CONTROL = r"/?s>|/?INST\]|<SYS>>|</SYS>>"
 
@@ -48,27 +53,48 @@ def unescape_role(role: Column) -> Column:
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """Rows (conv_id, window, formatted, n_repeated, loss array<struct<start, length>>) of rows (conv_id, turn, role, text).
 
-    start and length count code points of `formatted`.
+    window is the number of tokens before its first new turn; start and length count code points of `formatted`.
     """
-    span = budget - history
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
-    rows = rows.withColumn("tokens", F.regexp_count("text", F.lit(r"\S+")) + 4)
-    rows = rows.withColumn("ahead", F.coalesce(F.sum("tokens").over(before), F.lit(0)).cast("long")).withColumn("n", F.row_number().over(order))
-    rows = rows.withColumn("window", F.floor(F.col("ahead") / span)).withColumn("opens", F.coalesce(F.lag("window").over(order) != F.col("window"), F.lit(True)))
-    opening = F.when(F.col("opens"), F.struct("window", "ahead"))
-    rows = rows.withColumn("next", F.first(opening, ignorenulls=True).over(after))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("tokens", F.regexp_count("text", F.lit(r"\S+")) + FRAME)
     # The conversation's first system turn: it is kept in every window behind its own.
-    system = F.when(F.col("role") == "system", F.struct("n", "role", "text"))
-    rows = rows.withColumn("system", F.first(system, ignorenulls=True).over(before))
+    system = F.when(F.col("role") == "system", F.struct(F.row_number().over(order).alias("n"), "tokens", "role", "text"))
+    rows = rows.withColumn("ahead", F.coalesce(F.sum("tokens").over(before), F.lit(0)).cast("long")).withColumn("n", F.row_number().over(order))
+    rows = rows.withColumn("is_system", system).withColumn("system", F.first("is_system", ignorenulls=True).over(before))
+    whole = Window.partitionBy("conv_id")
+    rows = rows.withColumn("kept_tokens", F.coalesce(F.max(F.when(F.col("system").isNull(), F.col("is_system.tokens"))).over(whole), F.lit(0)))
+    rows = rows.withColumn("total", F.max(F.col("ahead") + F.col("tokens")).over(whole))
+    rows = rows.withColumn("room", F.greatest(F.lit(budget - history) - F.col("kept_tokens"), F.lit(1)).cast("long"))
+    rows = rows.withColumn("section", F.floor(F.col("ahead") / (F.col("room") * SECTION)))
+
+    # Where windows begin in a section, by the ends of its turns: the first holds no repeats, so it has the whole budget.
+    section = Window.partitionBy("conv_id", "section")
+    in_section = section.orderBy("n")
+    ends = F.collect_list(F.col("ahead") + F.col("tokens")).over(section)
+    start = F.struct(F.col("ahead").alias("begin"), F.col("ahead").alias("end"), F.array("ahead").alias("starts"))
+
+    def step(at: Column, end: Column) -> Column:
+        fits = end - at["begin"] <= F.when(at["begin"] == 0, F.lit(budget)).otherwise(F.col("room"))
+        alone = at["begin"] == at["end"]
+        more = F.concat(at["starts"], F.array(at["end"]))
+        return F.struct(F.when(fits | alone, at["begin"]).otherwise(at["end"]).alias("begin"), end.alias("end"), F.when(fits | alone, at["starts"]).otherwise(more).alias("starts"))
+
+    rows = rows.withColumn("place", F.row_number().over(in_section)).withColumn("ends", ends)
+    found = F.when(F.col("place") == 1, F.aggregate(F.array_sort("ends"), start, step)["starts"])
+    rows = rows.withColumn("starts", found).withColumn("stop", F.array_max("ends")).drop("ends")
+    rows = rows.withColumn("starts", F.first("starts").over(in_section.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("window", F.array_max(F.filter("starts", lambda x: x <= F.col("ahead"))))
+    # The next window begins in this section, or with the next one if there is any.
+    following = F.array_min(F.filter("starts", lambda x: x > F.col("ahead")))
+    rows = rows.withColumn("next", F.coalesce(following, F.when(F.col("stop") < F.col("total"), F.col("stop")))).drop("starts")
     head = F.concat(F.lit("<s>"), escape_role(F.col("role")), F.lit("\n"))
     piece = lambda window, n, repeated: F.struct(window.alias("window"), n.alias("n"), F.lit(repeated).alias("repeated"), "role", "text")
-    is_system = F.coalesce(F.col("n") == F.col("first_system"), F.lit(False))
-    rows = rows.withColumn("first_system", F.min(F.when(F.col("role") == "system", F.col("n"))).over(Window.partitionBy("conv_id")))
     own = piece(F.col("window"), F.col("n"), False)
-    again = F.when(F.col("next").isNotNull() & (F.col("next.ahead") - F.col("ahead") <= history) & ~is_system, piece(F.col("next.window"), F.col("n"), True))
-    kept = F.when(F.col("opens") & F.col("system").isNotNull(), F.struct(F.col("window"), F.lit(0).alias("n"), F.lit(True).alias("repeated"), F.col("system.role").alias("role"), F.col("system.text").alias("text")))
+    is_kept = F.col("system").isNull() & F.col("is_system").isNotNull()
+    again = F.when((F.col("next") - F.col("ahead") <= history) & ~is_kept, piece(F.col("next"), F.col("n"), True))
+    kept = F.when((F.col("window") == F.col("ahead")) & F.col("system").isNotNull(), F.struct("window", F.lit(0).alias("n"), F.lit(True).alias("repeated"), F.col("system.role").alias("role"), F.col("system.text").alias("text")))
     pieces = rows.select("conv_id", F.explode(F.array_compact(F.array(own, again, kept))).alias("p")).select("conv_id", "p.*")
     pieces = pieces.withColumn("head", head).withColumn("body", escape(F.col("text")))
     pieces = pieces.withColumn("whole", F.concat("head", "body", F.lit("</s>")))

@@ -584,6 +584,42 @@ def test_history_is_repeated_and_masked(spark):
     assert sum(len(r["loss"]) for r in parts) == 20
 
 
+def test_windows_keep_the_budget(spark, monkeypatch):
+    """Cuts against a plain loop; the system turn and history are charged; only a turn by itself may be too long."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for conv in range(6):
+        for i in range(300):
+            size = int(rng.choice([1, 30, 90, 400, 900], p=[0.3, 0.3, 0.25, 0.1, 0.05]))
+            role = "system" if i == conv and conv < 4 else ("user", "assistant")[i % 2]
+            rows.append((conv, i, role, "w " * ((900, 20, 400, 100)[conv] if role == "system" else size)))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    budget, history = 1024, 256
+    got = collections.defaultdict(list)
+    for r in sorted(chat.windows(df, budget, history).collect(), key=lambda r: (r["conv_id"], r["window"])):
+        sizes = [len(x.split("\n", 1)[1].split()) + chat.FRAME for x in r["formatted"].split("</s>")[:-1]]
+        assert sum(sizes) <= budget or len(sizes) - r["n_repeated"] == 1
+        assert sum(sizes[: r["n_repeated"]]) <= history + max(x for x in [0, 904, 24, 404, 104])
+        got[r["conv_id"]].append(r["window"])
+    for conv in range(6):
+        tokens = [len(t.split()) + chat.FRAME for c, _, _, t in rows if c == conv]
+        kept = next((n for n, (c, _, role, _) in zip(tokens, [r for r in rows if r[0] == conv], strict=True) if role == "system"), 0)
+        room = max(budget - history - kept, 1)
+        starts, ahead, begin, section = [], 0, 0, -1
+        for n in tokens:
+            if ahead // (room * chat.SECTION) != section or (ahead + n - begin > (room if begin else budget) and ahead != begin):
+                begin, section = ahead, ahead // (room * chat.SECTION)
+                starts.append(begin)
+            ahead += n
+        assert got[conv] == starts
+
+
+def test_one_long_conversation(spark):
+    df = spark.range(40_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("turn "), F.col("id").cast("string")).alias("text"))
+    parts = chat.read_back(chat.windows(df)).select("window", F.size("turns").alias("n"), F.size("targets").alias("t")).collect()
+    assert sum(r["n"] for r in parts) == 40_000 and sum(r["t"] for r in parts) == 20_000
+
+
 def test_chat_plan_is_native(spark):
     plan = chat.op7_chat_windows(spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
