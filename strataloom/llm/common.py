@@ -15,27 +15,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _local_folder(spark: SparkSession) -> str:
+    """A folder of this machine, for sessions in which all tasks run here and that name no other."""
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and all executors share; the master is {master}")
+    return tempfile.mkdtemp(prefix="strataloom-ckpt-")
+
+
+def _checkpoints(spark: SparkSession) -> str:
+    """The session's checkpoint folder, as it is or as spark.checkpoint.dir names it."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or _local_folder(spark))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage in the folder that spark.checkpoint.dir names.
 
-    A folder of this machine is set only where the session names none, as in tests.
+    A folder of this machine is set only where the session names none and runs on this machine alone.
     """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="strataloom-ckpt-"))
+    _checkpoints(df.sparkSession)
     return df.checkpoint()
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see, as a URI or a path."""
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="strataloom-ckpt-"))
-    return context._jsc.sc().getCheckpointDir().get().rstrip("/")
+    return (spark.sparkContext.getConf().get("spark.checkpoint.dir") or _checkpoints(spark)).rstrip("/")
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -215,18 +215,32 @@ def train_on(rows: DataFrame, labels: DataFrame) -> Model:
     return fit(cut(rows.join(known, "doc_id").select("x", F.col("quality").cast("int").alias("quality"))))
 
 
-def with_scores(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """`docs` with a score beside all its columns; no shuffle."""
+def beside(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows (row, x): each row of `docs` whole, and its statistics; whatever its columns are named. No shuffle."""
     at = docs.columns.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
+    # As positions: names of the input may repeat or be those used here.
+    schema = T.StructType([*[T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)], T.StructField("x", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, x in of_column(batch.column(at)):
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(x))], [*batch.schema.names, score_col])
+                lists = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    flat = docs.toDF(*schema.names[:-1]).mapInArrow(run, schema)
+    return flat.select(F.struct(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)]).alias("row"), "x")
+
+
+def scored(rows: DataFrame, model: Model) -> DataFrame:
+    """Rows (row, score) of rows (row, x)."""
+    schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(matrix(batch.column(1))))], ["row", "score"])
+
+    return rows.select("row", "x").mapInArrow(run, schema)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Queries of the corpus operators and their DuckDB SQL."""
+"""Queries of the corpus operators and their DuckDB SQL; the pipeline over them is registered beside them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
 from strataloom.llm import bpe, chat, covertree, ctw, html_text, minhash, mixing, packed, quality, topk
 
 
@@ -22,7 +21,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_top_k": topk.op8_exact_top_k,
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_bpe_encode_decode": bpe.op10_bpe_encode_decode,
-        "pipeline": corpus_pipeline.run,
     }
 
 

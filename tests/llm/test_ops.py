@@ -57,8 +57,7 @@ def near_components(ids, texts, percent=85):
 
 
 def test_registry_names_every_operator():
-    names = set(registry.queries())
-    assert {re.match(r"op(\d+)_", n)[1] for n in names if n != "pipeline"} == set(map(str, range(1, 11))) and "pipeline" in names
+    assert {re.match(r"op(\d+)_", n)[1] for n in registry.queries()} == set(map(str, range(1, 11)))
 
 
 # 1 mixing
@@ -713,6 +712,16 @@ def test_normal_equations_over_partitions(spark):
 def test_scores_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.train_on(quality.features(docs), none)
-    scored = quality.with_scores(docs, model, score_col="q").collect()
-    assert len(scored) == docs.count() and all(r["q"] == 0.5 for r in scored)
-    assert quality.with_scores(docs.limit(0), model, score_col="q").count() == 0
+    rows = quality.scored(quality.beside(docs), model).collect()
+    assert len(rows) == docs.count() and all(r["score"] == 0.5 for r in rows) and {r["row"]["doc_id"] for r in rows} == {*range(13), 14, None}
+    assert quality.scored(quality.beside(docs.limit(0)), model).count() == 0
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from strataloom.llm import common
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common._local_folder(SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077")))
+    assert common._local_folder(SimpleNamespace(sparkContext=SimpleNamespace(master="local[4]")))

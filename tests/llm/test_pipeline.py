@@ -4,6 +4,7 @@ import hashlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from strataloom.llm import bpe, mixing, quality
@@ -33,8 +34,9 @@ def test_quality_stage(stages):
     labels = duckdb.sql(f"SELECT doc_id, quality FROM read_parquet('{DATA}/labels.parquet')").fetchall()
     good, bad = {i for i, q in labels if q}, {i for i, q in labels if not q}
     assert good <= kept and len(bad & kept) <= 0.2 * len(bad)
-    scored = quality.with_scores(stages[0], quality.train_on(quality.features(stages[0]), stages[0].sparkSession.read.parquet(f"{DATA}/labels.parquet")))
-    assert {r[0] for r in scored.where(f"score >= {quality.THRESHOLD}").select("doc_id").collect()} == kept
+    model = quality.train_on(quality.features(stages[0]), stages[0].sparkSession.read.parquet(f"{DATA}/labels.parquet"))
+    scored = quality.scored(quality.beside(stages[0]), model)
+    assert {r[0] for r in scored.where(f"score >= {quality.THRESHOLD}").select("row.doc_id").collect()} == kept
 
 
 def test_near_duplicate_stage(stages):
@@ -65,6 +67,24 @@ def test_last_stage(stages):
         assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest())
 
 
+def test_run_is_registered(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.queries()["pipeline"] is pipeline.run
+    folder = pipeline.shared_dir(spark)
+    got = pipeline.run(spark, DATA)
+    (files,) = {f.split("/corpus-pipeline-")[1].split("/")[1] for f in got.inputFiles()}
+    assert files == "3" and got.count() > 0 and folder
+
+
+def test_an_id_with_two_texts(spark):
+    """7 is a copy of 3 in one row and unlike any other in the next; that one stays."""
+    rows = [(3, "a b c d e f"), (7, "A b c d\te f"), (7, "something else that nobody has"), (8, "x"), (8, "x"), (8, "y")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipeline.drop_near_duplicates(spark, docs, DATA).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got)) == sorted([rows[0], rows[2], rows[3], rows[5]])
+
+
 def test_hard_rows(spark):
     """Nulls in any column, empty texts, repeated rows, other columns, and nothing at all."""
     rows = [(None, "one two three", None, None, None, 1), (1, None, "en", "a", 0, 2), (2, "", "en", "a", 0, 3), (3, "x y z", "en", None, 5, 4), (3, "x y z", "en", None, 5, 4), (4, "x y z", "en", "b", 5, 5)]
@@ -76,3 +96,8 @@ def test_hard_rows(spark):
     assert unique.columns == docs.columns and sorted(map(str, (r["doc_id"] for r in unique.collect()))) == ["1", "2", "3", "None"]
     assert pipeline.mix_sources(spark, docs, DATA).columns == docs.columns
     assert pipeline.encode_decode(spark, docs, DATA).count() == len(rows)
+    names = ["score", "row", "x", "mark", "kept", "component_id", "_quality_score", "n", "s", "draw"]
+    clash = docs.drop("kept").select("*", *[F.lit(1).alias(n) for n in names])
+    for name, stage in pipeline.STAGES[:-1]:
+        got = stage(spark, clash, DATA)
+        assert got.columns == clash.columns and got.count() > 0, name
