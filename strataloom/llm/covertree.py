@@ -30,9 +30,10 @@ from strataloom.llm.common import bounded, components, cut, table
 from strataloom.llm.minhash import forest
 
 COSINE = 0.98
-BLOCK, SAMPLE, CELLS = 1024, 4096, 256
+BLOCK, SAMPLE, CELLS = 2048, 4096, 2048
+#: Pairs of two nodes below which they are compared one by one even if they lie within the threshold as wholes.
+FEW = 64
 FIRST_RADIUS, LAST_RADIUS = 2.0, 0.05
-_SLACK = 1e-7  # of distances taken from cosines
 
 
 def units(column: pa.Array) -> list[np.ndarray | None]:
@@ -63,38 +64,63 @@ def apart(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * cosine, 0))
 
 
+def slack(size: int) -> float:
+    """What three distances taken from single-precision cosines of `size` components may be wrong by together."""
+    return 3 * float(np.sqrt(2 * (size + 4) * 2.0**-24))
+
+
 class CoverTree:
-    """Levels of a cover tree: centres (places of vectors), for each vector its centre's number, true radii, parents."""
+    """Levels of a cover tree: centres (places of vectors), for each vector its centre's number, true radii, parents.
+
+    At each level a vector that is farther from its centre than the radius becomes a centre in its turn, in order of
+    place; the vectors of a node stay below it. Levels that would part nothing are left out.
+    """
 
     def __init__(self, x: np.ndarray, most: int | None = None):
         n = len(x)
-        owner, away = np.zeros(n, np.int64), apart(x @ x[0])
-        centres, radius = [0], FIRST_RADIUS
+        # Distances in single precision steer the tree; what that may miss is in slack(), and pairs are compared in double.
+        d = apart(x.astype(np.float32) @ x.astype(np.float32).T) if n else np.zeros((0, 0), np.float32)
+        np.fill_diagonal(d, 0)
+        owner, centres, radius = np.zeros(n, np.int64), np.zeros(min(n, 1), np.int64), FIRST_RADIUS
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        self._add(centres, owner, away, np.zeros(1, np.int64))
+        away = d[0] if n else np.zeros(0, np.float32)
+        self._add(centres, owner, away, np.zeros(len(centres), np.int64))
         while radius > LAST_RADIUS and (most is None or len(centres) < most):
             radius /= 2
-            above, parents = owner.copy(), list(range(len(centres)))
-            centres, owner, away = list(centres), owner.copy(), away.copy()
             far = np.flatnonzero(away > radius)
-            while len(far):
-                p = far[0]
-                near = np.flatnonzero(above == above[p])  # a node's vectors stay below it
-                d = apart(x[near] @ x[p])
-                d[near == p] = 0
-                take = near[d < away[near]]
-                away[take], owner[take] = d[d < away[near]], len(centres)
-                parents.append(int(above[p]))
-                centres.append(int(p))
-                far = far[away[far] > radius]
-                if most is not None and len(centres) >= most:
-                    break
-            self._add(centres, owner, away, np.array(parents))
-
-    def _add(self, centres: list[int], owner: np.ndarray, away: np.ndarray, parents: np.ndarray) -> None:
+            if not len(far):
+                continue
+            fresh = self._centres(d, owner, far, radius)
+            if most is not None:
+                fresh = fresh[: most - len(centres)]
+            parents = np.concatenate([np.arange(len(centres)), owner[fresh]])
+            above, centres = owner, np.concatenate([centres, fresh])
+            # The nearest centre of those below the same node; a centre belongs to itself.
+            for node in np.unique(owner[fresh]):
+                mine, own = np.flatnonzero(above == node), np.flatnonzero(parents == node)
+                near = d[np.ix_(mine, centres[own])]
+                best = near.argmin(1)
+                owner = owner if owner is not above else above.copy()
+                away = away.copy()
+                owner[mine], away[mine] = own[best], near[np.arange(len(mine)), best]
+            owner[centres], away[centres] = np.arange(len(centres)), 0
+            self._add(centres, owner, away, parents)
+
+    @staticmethod
+    def _centres(d: np.ndarray, owner: np.ndarray, far: np.ndarray, radius: float) -> np.ndarray:
+        """Of the places `far`, in order, those that no earlier one of the same node is near to."""
+        close = (d[np.ix_(far, far)] <= radius) & (owner[far][:, None] == owner[far][None, :])
+        np.fill_diagonal(close, False)
+        earlier = np.tril(close)
+        taken = ~earlier.any(1)  # nothing before them is near: centres at once
+        for i in np.flatnonzero(~taken).tolist():
+            taken[i] = not taken[:i][earlier[i, :i]].any()
+        return far[taken]
+
+    def _add(self, centres: np.ndarray, owner: np.ndarray, away: np.ndarray, parents: np.ndarray) -> None:
         radii = np.zeros(len(centres))
         np.maximum.at(radii, owner, away)
-        self.levels.append((np.array(centres), owner.copy(), radii, parents))
+        self.levels.append((centres.copy(), owner.copy(), radii, parents))
 
 
 def dual(x: np.ndarray, y: np.ndarray | None, w: np.ndarray, v: np.ndarray | None, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,19 +134,21 @@ def dual(x: np.ndarray, y: np.ndarray | None, w: np.ndarray, v: np.ndarray | Non
     y, v = (x, w) if same else (y, v)
     shift = 0 if same else len(x)
     counts = np.zeros(len(x) + (0 if same else len(y)), np.int64)
-    reach = float(apart(np.array(cosine)))
+    reach, wrong = float(apart(np.array(cosine))), slack(x.shape[1])
+    rough_x, rough_y = x.astype(np.float32), y.astype(np.float32)
     alive = np.ones((1, 1), bool)
     a_links, b_links = [], []
-    depth = max(len(s.levels), len(t.levels))
-    inside: list[tuple[int, int]] = []
-    for k in range(depth):
+    for k in range(max(len(s.levels), len(t.levels))):
         (ca, oa, ra, pa_), (cb, ob, rb, pb) = s.levels[min(k, len(s.levels) - 1)], t.levels[min(k, len(t.levels) - 1)]
         if k:
             alive = alive[np.ix_(pa_ if k < len(s.levels) else np.arange(len(ca)), pb if k < len(t.levels) else np.arange(len(cb)))]
-        d = apart(x[ca] @ y[cb].T)
-        whole = alive & (d + ra[:, None] + rb[None, :] <= reach - _SLACK)
-        alive = alive & (d <= ra[:, None] + rb[None, :] + reach + _SLACK) & ~whole
-        for i, j in np.argwhere(whole):
+        d = apart(rough_x[ca] @ rough_y[cb].T)
+        alive = alive & (d <= ra[:, None] + rb[None, :] + reach + wrong)
+        i, j = np.nonzero(alive)
+        many = np.bincount(oa, minlength=len(ca))[i] * np.bincount(ob, minlength=len(cb))[j] > FEW
+        whole = np.flatnonzero(many & (d[i, j] + ra[i] + rb[j] <= reach - wrong))
+        alive[i[whole], j[whole]] = False
+        for i, j in zip(i[whole], j[whole], strict=True):
             p, q = np.flatnonzero(oa == i), np.flatnonzero(ob == j)
             if same and i > j:
                 continue
@@ -152,8 +180,7 @@ def dual(x: np.ndarray, y: np.ndarray | None, w: np.ndarray, v: np.ndarray | Non
             pp, qq = p[c : c + 100_000], q[c : c + 100_000]
             hit = np.einsum("ij,ij->i", x[pp], y[qq]) >= cosine
             pp, qq = pp[hit], qq[hit]
-            np.add.at(counts, pp, v[qq])
-            np.add.at(counts, qq + shift, w[pp])
+            counts += np.bincount(pp, v[qq], len(counts)).astype(np.int64) + np.bincount(qq + shift, w[pp], len(counts)).astype(np.int64)
             a_links.append(pp)
             b_links.append(qq + shift)
         done = stop
@@ -208,7 +235,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
         for batch in batches:
             c = {n: batch.column(n).to_numpy() for n in ("size", "cell_a", "cell_b", "radius_a", "radius_b")}
             gap = np.array([gaps[s][a, b] if s in gaps and a != b else 0.0 for s, a, b in zip(c["size"], c["cell_a"], c["cell_b"], strict=True)])
-            yield batch.filter(pa.array(gap <= c["radius_a"] + c["radius_b"] + reach + _SLACK))
+            yield batch.filter(pa.array(gap <= c["radius_a"] + c["radius_b"] + reach + 1e-6))
 
     side = lambda s: cells.select("label", "size", *[F.col(n).alias(f"{n}_{s}") for n in ("cell", "radius", "parts")])
     both = side("a").join(side("b"), ["label", "size"]).where("cell_a <= cell_b")
