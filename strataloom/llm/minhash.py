@@ -9,8 +9,8 @@
 4. Postings of up to `LIST` texts are joined pair by pair; a pair is counted only at
    its first shared posting, the others are skipped, and stays if it has `matches`
    equal minima. Then it is confirmed on the two whole sets.
-5. Longer postings are united into clusters. First each text in one is confirmed against its
-   neighbour in order of size, which joins most of a large group of near copies at a linear cost.
+5. Longer postings are united into clusters. First the texts of a posting are intersected in runs by
+   size, which joins most of a large group of near copies at a linear cost.
    Then a cluster is cut into blocks of bounded volume, those of a large component by themselves; each
    pair of blocks whose sizes allow a link, and that are not of one component, is
    intersected exactly as a matrix product, and only a spanning forest leaves the task.
@@ -43,6 +43,8 @@ COORDINATES, MATCHES = 32, 14
 WIDTH, PERCENT = 5, 85
 #: Texts of a posting joined pair by pair; shingles of a block in a longer one's cluster; bytes of texts confirmed together.
 LIST, BLOCK_SHINGLES, TOGETHER = 32, 120_000, 1 << 19
+#: Texts of a run.
+RUN = 32
 
 MIXED = -(2**63) + 1
 
@@ -171,12 +173,20 @@ def _block_pair(group: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
-def _chain(long_: DataFrame) -> DataFrame:
-    """Pairs (a, b) of neighbours by size in long postings (key, texts, rep, n_shingles), in salted parts of a posting."""
+def _runs(long_: DataFrame, texts: DataFrame) -> DataFrame:
+    """Forest edges inside runs of texts that follow each other by size in a long posting (key, texts, rep, n_shingles).
+
+    Each text takes part in its two longest postings, whose members mostly join in this way; a posting is salted.
+    """
+    rank = F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("texts"), "key"))
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("texts") / 1024))
-    order = Window.partitionBy("key", part).orderBy("n_shingles", "rep")
-    pairs = long_.select("rep", F.lag("rep").over(order).alias("other")).where("other is not null")
-    return pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+    members = long_.withColumn("rank", rank).where("rank <= 2").select("key", part.alias("salt"), "rep", "n_shingles")
+    n = F.row_number().over(Window.partitionBy("key", "salt").orderBy("n_shingles", "rep"))
+    run = F.floor((n - 1) / RUN)
+    # The first of a run is the last of the one before as well.
+    runs = F.when(((n - 1) % RUN == 0) & (n > 1), F.array(run - 1, run)).otherwise(F.array(run))
+    rows = members.withColumn("runs", runs).select("key", "salt", "rep", F.explode("runs").alias("run"), F.lit(0).alias("side"))
+    return rows.join(texts, "rep").groupBy("key", "salt", "run").applyInArrow(_block_pair, "u long, v long")
 
 
 def _long_links(members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -233,12 +243,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = met.select("key", "a", "b", "sig_a", "sig_b", "prefix_a", "prefix_b").mapInArrow(lambda batches: _collide(batches, matches), "a long, b long")
     in_cluster = lambda s: members.select(F.col("rep").alias(s), F.col("cluster").alias(f"cluster_{s}"))
     pairs = pairs.join(in_cluster("a"), "a", "left").join(in_cluster("b"), "b", "left").where("cluster_a is null or cluster_b is null or cluster_a <> cluster_b")
-    pairs = cut(pairs.select("a", "b").unionByName(_chain(long_)))
+    pairs = cut(pairs.select("a", "b"))
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(members.select("rep")).distinct()
     found = cut(texts.select(F.col("doc_id").alias("rep"), F.col("text").cast("binary").alias("text")).join(wanted, "rep", "left_semi").dropDuplicates(["rep"]))
     one = pairs.join(found.select(F.col("rep").alias("a"), F.col("text").alias("x")), "a").join(found.select(F.col("rep").alias("b"), F.col("text").alias("y")), "b")
-    links = cut(one.select("a", "b", "x", "y").mapInArrow(_confirm, "u long, v long"))
+    links = cut(one.select("a", "b", "x", "y").mapInArrow(_confirm, "u long, v long").unionByName(_runs(long_, found)))
     known = components(links).select(F.col("node").alias("rep"), "component")
     members = members.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     joined = components(links.unionByName(_long_links(members, found))).select(F.col("node").alias("rep"), "component")
