@@ -6,6 +6,11 @@ over a block's own looks (words, links, sentence ends, tag) and its surroundings
 capacity to a terminal. Neighbours in page order, and blocks of the same container, are joined by edges
 that weigh more the closer they stand in the tree; the least cut parts content from the rest.
 
+What stands around a block counts by how sure it is. Elements, roles, hidden parts and reader comments are
+firm. Names of classes and ids are hints: the last word that says anything names the thing (a `post-sidebar` is a
+sidebar, a `social-page` a page), other words weigh little, and `no-sidebar` or `has-sidebar` say nothing about the
+element itself. Where a page's only article or main stands inside hints, those outside it are void.
+
 Rows: a null page, one without text or one without content has the text ''. Pages may be cut
 off anywhere, tags may be unclosed or stray. Repeated pages count each. Whole pages are
 read; a page is worked on by itself, in memory in proportion to it.
@@ -16,7 +21,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,40 +43,68 @@ ENDS = {
 }
 NO_TEXT = frozenset("applet audio button canvas datalist head map noscript object select svg template video math".split()) | RAW
 
-#: Elements, roles and words in class or id names that stand around what is not the article.
-BAD_ELEMENTS = frozenset("nav footer aside form dialog menu search fieldset address".split())
+#: Elements and roles that stand around what is not the article.
+BAD_ELEMENTS = frozenset("nav footer aside form dialog menu search fieldset".split())
+#: Elements that belong to an article if they are in one.
+BAD_OUTSIDE = frozenset(["header", "address"])
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar note".split())
+#: Words in names of classes and ids: of reader comments, of other things beside the article, of the article, and those that only say what shape a thing has.
+COMMENT_WORDS = frozenset("comment comments commentlist commenters disqus replies reply respond responses".split())
 BAD_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adslot banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies copyright disclaimer disqus "
+    "ad ads adv advert adverts advertisement advertising adsense adslot banner breadcrumb breadcrumbs byline consent cookie cookies copyright disclaimer "
     "dropdown footer gdpr header hidden legal login masthead menu message modal nav navbar navigation newsletter notice notices notification outbrain overlay pager pagination popup promo promos promotion "
-    "recommended related replies reply respond responses search share sharing sidebar sidenav signup site-footer site-header skip social sponsor sponsored sponsors subscribe subscription taboola tags teaser toolbar topbar "
+    "recommended related search share sharing sidebar sidenav signup skip social sponsor sponsored sponsors subscribe subscription taboola tags teaser toolbar topbar "
     "tracking trending widget widgets warning alert".split()
 )
-GOOD_WORDS = frozenset("article articlebody body content entry main post story text".split())
+GOOD_WORDS = frozenset("article articlebody body content entry main page post story text".split())
+SHAPE_WORDS = frozenset("area articles bar block bottom box buttons col column container group inner item items large left link links list module outer panel posts right row section site slot small top unit wrap wrapper".split())
+#: First words of names that speak of what an element has or lacks, not of what it is.
+ABOUT_WORDS = frozenset("has hide is no non not show with without".split())
 MAIN_ELEMENTS = frozenset(["article", "main"])
+#: Weight of a firm sign, of a name that is a thing beside the article, and of a word in another name.
+FIRM, NAMED, HINT = 8.0, 4.0, 1.0
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+
+
+def name_signs(names: str) -> tuple[bool, float, bool]:
+    """What the names of an element say: reader comments, weight of things beside the article, and article."""
+    named = hints = 0
+    comments = good = False
+    for name in names.split():
+        words = [w.lower() for w in _WORD.findall(name)]
+        if not words or words[0] in ABOUT_WORDS:
+            continue
+        says = [w for w in words if w not in SHAPE_WORDS] or words
+        comments |= says[-1] in COMMENT_WORDS or says[0] in COMMENT_WORDS
+        good |= says[-1] in GOOD_WORDS
+        named += says[-1] in BAD_WORDS
+        hints += any(w in BAD_WORDS for w in says[:-1])
+    weight = NAMED if named and not good else HINT * min(named + hints, 2)
+    return comments, weight, good
+
+
 _NO_SHOW = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Element:
-    __slots__ = ("above", "depth", "name", "main", "bad", "good", "silent", "link")
+    """An element with what it and those around it say: `firm` signs against it, `hints` by name, `inner` hints since the article or main around it."""
+
+    __slots__ = ("above", "depth", "name", "block", "main", "firm", "hints", "inner", "good", "silent", "link")
 
     def __init__(self, name: str, above: Element | None, attributes: str):
         self.name, self.above = name, above
         self.depth = above.depth + 1 if above else 0
+        self.block = self if name in BLOCKS or above is None else above.block
         self.main = above.main if above else False
-        self.bad = above.bad if above else 0.0
-        self.good = above.good if above else 0.0
+        self.firm, self.hints, self.inner, self.good = (above.firm, above.hints, above.inner, above.good) if above else (0.0, 0.0, 0.0, 0)
         self.silent = (above.silent if above else False) or name in NO_TEXT
         self.link = (above.link if above else False) or name == "a"
-        if name in BAD_ELEMENTS:
-            self.bad += 8
-        elif name == "header" and not self.main:
-            self.bad += 8
+        if name in BAD_ELEMENTS or (name in BAD_OUTSIDE and not self.main):
+            self.firm += FIRM
         whole = name in ("html", "body")
         is_main = name in MAIN_ELEMENTS
         if attributes.strip():
@@ -79,20 +112,20 @@ class Element:
             role = found.get("role", "").lower()
             is_main = is_main or role in MAIN_ELEMENTS or "articlebody" in found.get("itemprop", "").lower()
             if role in BAD_ROLES:
-                self.bad += 8
+                self.firm += FIRM
             if not whole and ("hidden" in found or found.get("aria-hidden", "").lower() == "true" or _NO_SHOW.search(found.get("style", ""))):
-                self.bad += 8
-            if not whole and not is_main and name not in HEADINGS and name != "p":
-                words = {w.lower() for w in _WORD.findall(f"{found.get('class', '')} {found.get('id', '')}")}
-                if words & BAD_WORDS:
-                    self.bad += 7
-                elif words & GOOD_WORDS:
-                    self.good = min(self.good + 1, 2)
-            elif name in ("p", *HEADINGS):
-                words = {w.lower() for w in _WORD.findall(f"{found.get('class', '')} {found.get('id', '')}")}
-                if words & BAD_WORDS:
-                    self.bad += 5
-        if is_main and self.bad < 5:
+                self.firm += FIRM
+            if not whole:
+                comments, weight, good = name_signs(f"{found.get('class', '')} {found.get('id', '')}")
+                if comments and name not in HEADINGS:
+                    self.firm += FIRM
+                if not is_main:
+                    self.hints += weight
+                    self.inner += weight
+                    self.good = min(self.good + (good and not weight), 2)
+        if is_main and not self.firm:
+            if not self.main:
+                self.inner = 0.0
             self.main = True
 
 
@@ -108,6 +141,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     root = Element("html", None, "")
     stack = [root]
+    places: dict[str, list[int]] = {"html": [0]}  # of the open elements of each name, so that no tag walks the stack
     parts: list[str] = []
     linked = 0
 
@@ -115,10 +149,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         if parts:
             if text := " ".join(html.unescape("".join(parts)).split()):
-                at = stack[-1]
-                while at.above and at.name not in BLOCKS:
-                    at = at.above
-                out.append(Block(text, at, min(linked, len(text))))
+                out.append(Block(text, stack[-1].block, min(linked, len(text))))
             parts.clear()
             linked = 0
 
@@ -129,15 +160,21 @@ def blocks(page: str) -> list[Block]:
             if stack[-1].link:
                 linked += len(text)
 
-    def close(names: set[str] | frozenset[str], within: set[str] | frozenset[str]) -> None:
+    def innermost(names: Iterable[str]) -> int:
+        return max((places[name][-1] for name in names if places.get(name)), default=0)
+
+    def drop(k: int) -> None:
+        """End element k and all inside it."""
+        for e in stack[k:]:
+            places[e.name].pop()
+        del stack[k:]
+
+    def close(names: Iterable[str], within: Iterable[str]) -> None:
         """End the innermost open element of these names, if none of `within` stands between."""
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].name in names:
-                flush()
-                del stack[k:]
-                return
-            if stack[k].name in within:
-                return
+        k = innermost(names)
+        if k > 0 and k > innermost(within):
+            flush()
+            drop(k)
 
     at, n = 0, len(page)
     while at < n:
@@ -167,20 +204,15 @@ def blocks(page: str) -> list[Block]:
         at = m.end()
         name = m[2].lower()
         if m[1]:
-            if name in ("br", "p") and name not in {e.name for e in stack}:
+            if name in ("br", "p") and not places.get(name):
                 flush() if name == "p" else say(" ")
                 continue
             if name in BLOCKS:
                 close({name}, frozenset() if name in ("body", "html", "article", "main", "nav", "footer", "header", "aside", "form", "section") else {"article", "main", "nav", "footer", "header", "aside", "td", "th"} - {name})
-            else:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].name == name:
-                        if stack[k].silent and name in NO_TEXT:
-                            flush()
-                        del stack[k:]
-                        break
-                    if stack[k].name in BLOCKS:
-                        break
+            elif (k := innermost([name])) > 0 and stack[-1].block is stack[k].block:
+                if stack[k].silent and name in NO_TEXT:
+                    flush()
+                drop(k)
             continue
         if name == "br":
             say(" ")
@@ -192,7 +224,7 @@ def blocks(page: str) -> list[Block]:
             if name in ENDS:
                 close(*ENDS[name])
             if name in HEADINGS and stack[-1].name in HEADINGS:
-                stack.pop()
+                drop(len(stack) - 1)
         if name in EMPTY:
             continue
         element = Element(name, stack[-1], m[3])
@@ -202,25 +234,27 @@ def blocks(page: str) -> list[Block]:
             at = n if end < 0 else end + 1
             continue
         if not m[3].rstrip().endswith("/") or name in BLOCKS or name == "a":
+            places.setdefault(name, []).append(len(stack))
             stack.append(element)
     flush()
     return out
 
 
-def gain(block: Block, has_main: bool) -> float:
+def gain(block: Block, has_main: bool, inside_only: bool = False) -> float:
     """How much a block looks like content: positive for content, negative for the rest."""
     words = block.text.split()
     around = block.at
-    heading = around.name in HEADINGS
     links = block.linked / len(block.text)
     g = -2.2 + 1.1 * math.log1p(len(words)) - 3.5 * links
-    g += 0.8 * (block.text[-1] in ".!?…\"'”»:;。") + 0.6 * (around.name in ("p", "pre", "blockquote", "figcaption")) + 0.8 * heading
+    g += 0.8 * (block.text[-1] in ".!?…\"'”»:;。") + 0.6 * (around.name in ("p", "pre", "blockquote", "figcaption"))
+    g += 0.8 * (around.name in HEADINGS) + 2.0 * (around.name == "h1")
     g += around.good
+    hints = around.inner if inside_only and around.main else around.hints
     if around.main:
-        g = max(g, -1.0) + 5
+        g = max(g, -1.0) + (5 if hints < NAMED else 1)
     elif has_main:
         g -= 4
-    return min(g, 9.0) - 2.0 * around.bad if around.bad else min(g, 9.0)
+    return min(g, 9.0) - 2.0 * (around.firm + hints)
 
 
 def distance(a: Element, b: Element) -> int:
@@ -240,15 +274,19 @@ def main_text(page: str) -> str:
     found = blocks(page)
     if not found:
         return ""
-    has_main = any(b.at.main and b.at.bad < 5 for b in found)
-    edges = [(i, i + 1, 0.2 + 1.6 / (1 + distance(found[i].at, found[i + 1].at))) for i in range(len(found) - 1)]
+    mains = [b.at for b in found if b.at.main and not b.at.firm]
+    inside_only = bool(mains) and all(e.hints >= NAMED for e in mains)
+    has_main = any((e.inner if inside_only else e.hints) < NAMED for e in mains)
+    # A firm sign parts a block from those without one, so it hardly pulls them along.
+    hold = lambda i, j: 1.0 if bool(found[i].at.firm) == bool(found[j].at.firm) else 0.3
+    edges = [(i, i + 1, hold(i, i + 1) * (0.2 + 1.6 / (1 + distance(found[i].at, found[i + 1].at)))) for i in range(len(found) - 1)]
     last: dict[int, int] = {}
     for i, b in enumerate(found):
         box = id(b.at.above)
         if (j := last.get(box, i - 1)) < i - 1:
-            edges.append((j, i, 0.5))  # the same container, with something else between
+            edges.append((j, i, hold(j, i) * 0.5))  # the same container, with something else between
         last[box] = i
-    keep = min_cut([gain(b, has_main) for b in found], edges)
+    keep = min_cut([gain(b, has_main, inside_only) for b in found], edges)
     return " ".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 

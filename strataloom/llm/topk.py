@@ -2,11 +2,14 @@
 
 Components become floor(1024 x). A block of candidates has one sorted list a dimension; a
 query reads the list of a dimension from its high end where its own component is positive
-and from its low end where it is negative. After a depth of reading, a candidate's score lies
-between what was read and the far ends of the lists, and what was read and the places the
-lists have been read to. A candidate whose upper bound is below the k-th best lower bound
-cannot qualify; reading stops once few are left, and those are resolved to exact scores.
-As all queries of a block read to the same depth, bounds are four matrix products.
+and from its low end where it is negative, entry after entry. What a step reads is added to the sums of
+the candidates that stand there; nothing else of a candidate is looked at. Its score lies
+between that sum with the far ends of the lists where it has not come up yet, and that sum with the places
+the lists have been read to. A candidate, or one that has not come up anywhere, whose upper bound is below
+the k-th best lower bound cannot qualify and is left; reading stops once few are left, and those are resolved to exact scores.
+
+In many dimensions without skew nearly all of the lists is read before the bounds close (see the README): that is
+the method's cost, and a plain product would be cheaper there.
 
 Queries go in blocks against blocks of all rows; a task holds one of each, and hands on k
 rows a query. The best k of a query are then taken from its tasks.
@@ -30,7 +33,7 @@ from strataloom.llm.common import cut, table
 K, SCALE = 10, 1024
 QUERIES, CANDIDATES = 64, 16384
 #: Parts of the lists that are read before bounds are taken; candidates a query may have left when it stops.
-DEPTHS, LEFT = (0.1, 0.25, 0.5, 0.75, 1.0), 64
+DEPTHS, LEFT = (1 / 64, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 1.0), 64
 _EXACT = 2.0**53
 
 
@@ -59,50 +62,76 @@ def _pack(group: pa.Table) -> pa.Table:
     return pa.table({"size": group.column("size")[:1], "block": group.column("block")[:1], "ids": pa.array([ids[order].tobytes()], pa.binary()), "rows": block})
 
 
-def best(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int = K) -> list[tuple[np.ndarray, list[int]]]:
-    """For each query: places of its k best rows (not of its own id) and their scores; ids ascend, so ties go to the first."""
+def best(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int = K, read: list[int] | None = None) -> list[tuple[np.ndarray, list[int]]]:
+    """For each query: places of its k best rows (not of its own id) and their scores; ids ascend, so ties go to the first.
+
+    The number of list entries that a query read is appended to `read`.
+    """
     n, d = rows.shape
     if float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * d >= _EXACT:
-        return [_resolve(q, me, rows, ids, np.arange(n), k, False) for q, me in zip(queries, own, strict=True)]
-    places = np.argsort(rows, axis=0, kind="stable")
-    rank = np.empty((n, d), np.int32)
-    np.put_along_axis(rank, places, np.arange(n, dtype=np.int32)[:, None], 0)
-    lists = np.take_along_axis(rows, places, 0)
+        return _best_large(queries, own, rows, ids, k)
+    order = np.argsort(rows, axis=0, kind="stable")
+    lists = np.take_along_axis(rows, order, 0)
+    # What has come up in the lists, from their high and from their low ends, and each query's sums of it.
+    high, low, sums = np.zeros((n, d), bool), np.zeros((n, d), bool), np.zeros((len(queries), n))
     out: list[tuple[np.ndarray, list[int]] | None] = [None] * len(queries)
-    live = np.arange(len(queries))
+    live, alive, done = np.arange(len(queries)), np.arange(n), 0
     for share in DEPTHS:
         t = min(n, max(1, int(np.ceil(share * n))))
-        high, low = rank >= n - t, rank < t
         q = queries[live]
+        for j in range(d):
+            for seen, part, side in ((high, slice(n - t, n - done), q[:, j] > 0), (low, slice(done, t), q[:, j] < 0)):
+                if len(who := np.flatnonzero(side)):
+                    at = order[part, j]
+                    seen[at, j] = True
+                    sums[np.ix_(live[who], at)] += q[who, j][:, None] * lists[part, j][None, :]
+        done = t
         up, down = np.maximum(q, 0), np.minimum(q, 0)
-        # Sums of what has been read, then the bounds of what has not.
-        read = up @ np.where(high, rows, 0).T + down @ np.where(low, rows, 0).T
-        not_high, not_low = (~high).T.astype(float), (~low).T.astype(float)
-        upper = read + (up * lists[n - t]) @ not_high + (down * lists[t - 1]) @ not_low
-        lower = read + (up * lists[0]) @ not_high + (down * lists[n - 1]) @ not_low
-        mine = own[live][:, None] == ids[None, :]
+        not_high, not_low = (~high[alive]).T.astype(float), (~low[alive]).T.astype(float)
+        got = sums[np.ix_(live, alive)]
+        upper = got + (up * lists[n - t]) @ not_high + (down * lists[t - 1]) @ not_low
+        lower = got + (up * lists[0]) @ not_high + (down * lists[n - 1]) @ not_low
+        mine = own[live][:, None] == ids[alive][None, :]
         lower[mine], upper[mine] = -np.inf, -np.inf
-        limit = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(live), -np.inf)
+        limit = np.partition(lower, len(alive) - k, axis=1)[:, len(alive) - k] if len(alive) > k else np.full(len(live), -np.inf)
         keep = (upper >= limit[:, None]) & ~mine
-        done = (keep.sum(1) <= max(LEFT, k)) | (t == n)
-        for i in np.flatnonzero(done):
-            out[live[i]] = _resolve(q[i], own[live[i]], rows, ids, np.flatnonzero(keep[i]), k, True)
-        live = live[~done]
+        ready = (keep.sum(1) <= max(LEFT, k)) | (t == n)
+        for i in np.flatnonzero(ready):
+            out[live[i]] = _resolve(q[i], alive[keep[i]], rows, k)
+            if read is not None:
+                read.append(t * d)
+        live, keep = live[~ready], keep[~ready]
         if not len(live):
             break
+        alive = alive[keep.any(0)]
     return out
 
 
-def _resolve(q: np.ndarray, me: int, rows: np.ndarray, ids: np.ndarray, places: np.ndarray, k: int, exact: bool) -> tuple[np.ndarray, list[int]]:
-    places = places[ids[places] != me]
-    if exact:
-        score = (rows[places] @ q).astype(np.int64)
-        order = np.lexsort((places, -score))[:k]
-        return places[order], score[order].tolist()
-    whole = [int(x) for x in q]
-    sums = [max(-(2**63), min(2**63 - 1, sum(a * int(b) for a, b in zip(whole, rows[p], strict=True)))) for p in places]
-    order = sorted(range(len(places)), key=lambda i: (-sums[i], places[i]))[:k]
-    return places[order], [sums[i] for i in order]
+def _resolve(q: np.ndarray, places: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, list[int]]:
+    score = (rows[places] @ q).astype(np.int64)
+    order = np.lexsort((places, -score))[:k]
+    return places[order], score[order].tolist()
+
+
+def _best_large(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[np.ndarray, list[int]]]:
+    """best() where a double cannot hold all sums: bounds from products with their rounding, then whole numbers for what is left."""
+    ends = float(2**63)
+    with np.errstate(over="ignore", invalid="ignore"):
+        near = queries @ rows.T
+        wrong = (np.abs(queries) @ np.abs(rows).T) * ((rows.shape[1] + 2) * 2.0**-52)
+        lower, upper = np.clip(near - wrong, -ends, ends), np.clip(near + wrong, -ends, ends)
+    lower[np.isnan(lower)], upper[np.isnan(upper)] = -ends, ends
+    out = []
+    for i, q in enumerate(queries):
+        others = np.flatnonzero(ids != own[i])
+        limit = np.partition(lower[i, others], len(others) - k)[len(others) - k] if len(others) > k else -ends
+        places = others[upper[i, others] >= limit]
+        # Every score as a whole number, all at once.
+        exact = np.array([[int(x) for x in r] for r in rows[places].tolist()], object).reshape(len(places), -1) @ np.array([int(x) for x in q.tolist()], object)
+        score = [max(-(2**63), min(2**63 - 1, int(x))) for x in exact]
+        order = sorted(range(len(places)), key=lambda j: (-score[j], places[j]))[:k]  # noqa: B023
+        out.append((places[order], [score[j] for j in order]))
+    return out
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

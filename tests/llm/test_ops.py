@@ -394,12 +394,47 @@ PARAGRAPH = "A sentence of the article that has more than just a few words in it
         (f"<article><h1>T</h1><p>{PARAGRAPH}</p><aside>{PARAGRAPH}</aside><section id='user-comments'>{PARAGRAPH}</section><p>end</p></article>", f"T {PARAGRAPH} end"),
         (f"<article><p>x<b>y</b>\n\n z<br>w {PARAGRAPH}</p><style>p{{}}</style><button>Go</button></article>", f"xy z w {PARAGRAPH}"),
         (f"<article><p>{'word ' * 30000}</p></article>", ("word " * 30000).strip()),
+        (f"<div class='social-page'><article><p>{PARAGRAPH}</p></article></div><div class='related-posts'><article><p>{PARAGRAPH}</p></article></div>", PARAGRAPH),
+        (f"<div id='page' class='no-sidebar'><main><p>{PARAGRAPH}</p></main></div>", PARAGRAPH),
+        (f"<div class='post legal'><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>", f"{PARAGRAPH} {PARAGRAPH}"),
+        (f"<div class='modal'><article><p>{PARAGRAPH}</p><div class='ad'>{PARAGRAPH * 9}</div></article></div><div class='ad'>{PARAGRAPH}</div>", PARAGRAPH),
+        (f"<article><header><h1>T</h1></header><p>{PARAGRAPH}</p><address>By A. Writer, 1 Street</address></article><address>Site, 2 Street</address>", f"T {PARAGRAPH} By A. Writer, 1 Street"),
+        (f"<nav><a>x</a></nav><h1>Title</h1><div class='inhalt'><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div><footer>f</footer>", f"Title {PARAGRAPH} {PARAGRAPH}"),
+        (f"<article><p>{PARAGRAPH}</p></article><div class='comments-area'><article class='comment'><p>{PARAGRAPH}</p></article></div>", PARAGRAPH),
+        (f"<div class='comments'><article><p>{PARAGRAPH}</p></article></div>", ""),
     ],
 )
 def test_main_text(page, text):
     assert (html_text.main_text(page) if page else "") == text
 
 
+def test_names_of_classes():
+    signs = lambda names: html_text.name_signs(names)
+    assert signs("post-sidebar") == signs("sidebar-left") == signs("adContainer") == (False, html_text.NAMED, False)
+    assert signs("no-sidebar has-footer") == signs("inhalt artikel") == signs("") == (False, 0.0, False)
+    assert signs("social-page") == (False, html_text.HINT, True) and signs("post legal") == (False, html_text.HINT, True)
+    assert signs("comments-area")[0] and signs("user-comments")[0]
+
+
+def test_neighbours_overrule_a_hint():
+    """A block whose class is a weak word stands among paragraphs and stays; alone, as far from content, it goes."""
+    page = f"<div><p>{PARAGRAPH}</p><div class='share-note'>and so it went on from there.</div><p>{PARAGRAPH}</p></div>"
+    assert html_text.gain(html_text.blocks(page)[1], False) < 0
+    assert html_text.main_text(page) == f"{PARAGRAPH} and so it went on from there. {PARAGRAPH}" and html_text.main_text("<div class='share-note'>and so it went on from there.</div>") == ""
+
+
+@pytest.mark.parametrize("tags", ["<div></section>", "<div></b></li>", "<b></p>", "<li><article><div></li>"])
+def test_stray_tags_take_linear_time(tags):
+    import time
+
+    took = []
+    for n in (5_000, 20_000):
+        start = time.perf_counter()
+        html_text.blocks(tags * n + "x")
+        took.append(time.perf_counter() - start)
+    assert took[1] < 10 * took[0] + 0.2
+
+
 def test_pages_with_nulls(spark):
     df = spark.createDataFrame([(1, "u", None, 1), (None, None, f"<article><p>{PARAGRAPH}</p></article>", 2), (1, "u", "", 3)], "page_id long, url string, html string, text int")
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_text.extract(df).collect()) == [(0, PARAGRAPH, len(PARAGRAPH)), (1, "", 0), (1, "", 0)]
@@ -666,6 +701,34 @@ def test_bounds_never_lose_a_row(n):
         assert [(-x, int(p)) for p, x in zip(places, scores, strict=True)] == want
 
 
+def test_lists_are_read_in_part_where_scores_are_skewed():
+    """With a few rows far ahead, bounds close early; without skew in many dimensions nearly all is read."""
+    rng = np.random.default_rng(1)
+    rows = rng.integers(-20, 20, (4000, 16)).astype(float)
+    rows[:30] *= 40
+    queries = np.abs(rng.integers(1, 30, (8, 16))).astype(float)
+    rows[:30] = np.abs(rows[:30])
+    read: list[int] = []
+    found = topk.best(queries, np.full(8, -1), rows, np.arange(4000), 10, read)
+    assert len(read) == 8 and max(read) <= 4000 * 16 / 8
+    for (places, scores), q in zip(found, queries, strict=True):
+        s = rows @ q
+        assert [(-x, int(p)) for p, x in zip(places, scores, strict=True)] == sorted((-s[i], i) for i in range(4000))[:10]
+    flat: list[int] = []
+    topk.best(rng.integers(-500, 500, (4, 64)).astype(float), np.full(4, -1), rng.integers(-500, 500, (4000, 64)).astype(float), np.arange(4000), 10, flat)
+    assert min(flat) > 4000 * 64 / 4
+
+
+def test_large_components_are_exact():
+    rng = np.random.default_rng(2)
+    rows = np.floor(rng.normal(size=(500, 5)) * 10.0 ** rng.integers(6, 11, (500, 1)))
+    rows[7], rows[8] = 1e300, -1e300
+    queries = rows[[3, 7, 8, 20]]
+    for (places, scores), q, me in zip(topk.best(queries, np.array([3, 7, 8, 20]), rows, np.arange(500), 6), queries, (3, 7, 8, 20), strict=True):
+        s = [max(-(2**63), min(2**63 - 1, sum(int(a) * int(b) for a, b in zip(q, r, strict=True)))) for r in rows]
+        assert [(-x, int(p)) for p, x in zip(places, scores, strict=True)] == sorted((-s[i], i) for i in range(500) if i != me)[:6]
+
+
 # 9 quality
 
 
