@@ -70,6 +70,13 @@ def spread(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether each node is the upper end of one link at most, and then the lower end of none."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of `edges` (u, v longs): rows (node, component), the smallest node of each.
 
@@ -78,7 +85,7 @@ def components(edges: DataFrame) -> DataFrame:
     grow with the logarithm of the longest path. Nodes without an edge have no row.
     """
     links = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    while True:
+    while not _stars(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -90,12 +97,7 @@ def components(edges: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        after = cut(small)
-        # Both are finite sets of (u, v); a star forest maps to itself.
-        same = links.exceptAll(after).isEmpty() and after.exceptAll(links).isEmpty()
-        links = after
-        if same:
-            break
+        links = cut(small)
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -33,7 +33,7 @@ from strataloom.llm.common import cut, table
 K, SCALE = 10, 1024
 QUERIES, CANDIDATES = 64, 16384
 #: Parts of the lists that are read before bounds are taken; candidates a query may have left when it stops.
-DEPTHS, LEFT = (1 / 64, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 1.0), 64
+DEPTHS, LEFT = (1 / 8, 1 / 2, 1.0), 64
 _EXACT = 2.0**53
 
 
@@ -71,27 +71,29 @@ def best(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray
     if float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * d >= _EXACT:
         return _best_large(queries, own, rows, ids, k)
     order = np.argsort(rows, axis=0, kind="stable")
-    lists = np.take_along_axis(rows, order, 0)
-    # What has come up in the lists, from their high and from their low ends, and each query's sums of it.
-    high, low, sums = np.zeros((n, d), bool), np.zeros((n, d), bool), np.zeros((len(queries), n))
+    lists, dims = np.take_along_axis(rows, order, 0), np.arange(d)
+    # What has not come up yet from the high and from the low ends of the lists, and each query's sums of what has.
+    unread, sums = np.ones((2, n, d)), np.zeros((len(queries), n))
     out: list[tuple[np.ndarray, list[int]] | None] = [None] * len(queries)
     live, alive, done = np.arange(len(queries)), np.arange(n), 0
     for share in DEPTHS:
         t = min(n, max(1, int(np.ceil(share * n))))
         q = queries[live]
-        for j in range(d):
-            for seen, part, side in ((high, slice(n - t, n - done), q[:, j] > 0), (low, slice(done, t), q[:, j] < 0)):
-                if len(who := np.flatnonzero(side)):
-                    at = order[part, j]
-                    seen[at, j] = True
-                    sums[np.ix_(live[who], at)] += q[who, j][:, None] * lists[part, j][None, :]
+        signed = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], 1)
+        # The entries of this step, each at its row, go to the sums of those queries that read from that end.
+        step = np.zeros((2, n, d))
+        for end, part in enumerate((slice(n - t, n - done), slice(done, t))):
+            step[end, order[part], dims] = lists[part]
+            unread[end, order[part], dims] = 0
         done = t
-        up, down = np.maximum(q, 0), np.minimum(q, 0)
-        not_high, not_low = (~high[alive]).T.astype(float), (~low[alive]).T.astype(float)
-        got = sums[np.ix_(live, alive)]
-        upper = got + (up * lists[n - t]) @ not_high + (down * lists[t - 1]) @ not_low
-        lower = got + (up * lists[0]) @ not_high + (down * lists[n - 1]) @ not_low
+        sums = sums + signed @ np.concatenate([step[0, alive], step[1, alive]], 1).T
         mine = own[live][:, None] == ids[alive][None, :]
+        if t < n:
+            rest = np.concatenate([unread[0, alive], unread[1, alive]], 1).T
+            upper = sums + (signed * np.concatenate([lists[n - t], lists[t - 1]])) @ rest
+            lower = sums + (signed * np.concatenate([lists[0], lists[n - 1]])) @ rest
+        else:
+            upper, lower = sums.copy(), sums.copy()
         lower[mine], upper[mine] = -np.inf, -np.inf
         limit = np.partition(lower, len(alive) - k, axis=1)[:, len(alive) - k] if len(alive) > k else np.full(len(live), -np.inf)
         keep = (upper >= limit[:, None]) & ~mine
@@ -100,10 +102,11 @@ def best(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray
             out[live[i]] = _resolve(q[i], alive[keep[i]], rows, k)
             if read is not None:
                 read.append(t * d)
-        live, keep = live[~ready], keep[~ready]
+        live, keep, sums = live[~ready], keep[~ready], sums[~ready]
         if not len(live):
             break
-        alive = alive[keep.any(0)]
+        some = keep.any(0)
+        alive, sums = alive[some], sums[:, some]
     return out
 
 
