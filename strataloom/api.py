@@ -27,6 +27,8 @@ from strataloom.schema import INT16_NODATA
 from strataloom.sources import archive, extract_job, fetch, geojson, gpkg, tiff, vrt, wfs
 
 logger = logging.getLogger(__name__)
+#: Cells of a square that a halo is found by.
+HALO_BLOCK = 64
 create_vrt_file, list_tif_files_in_vrt_file = vrt.create_vrt_file, vrt.list_tif_files_in_vrt_file
 
 
@@ -128,11 +130,11 @@ def mosaic_cells(spark: SparkSession, files: Sequence[str | Path]) -> tuple[Data
         raise ValueError(f"{bad[0]['path']}: {bad[0]['error']}")
     first = min(rows, key=lambda r: names.index(_local(r["path"])))
     grid = Affine(first["a"], 0.0, min(r["c"] for r in rows), 0.0, first["e"], max(r["f"] for r in rows))
-    order = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
-    place = {"r0": F.round((F.col("f") - grid.f) / grid.e).cast("int"), "c0": F.round((F.col("c") - grid.c) / grid.a).cast("int"), "priority": F.try_element_at(order, F.regexp_replace("path", "^file:/+", "/"))}
-    meta = spark.createDataFrame(rows, meta.schema).withColumns(place)
+    order = spark.createDataFrame([(_local(n), i) for i, n in enumerate(names)], "_path string, priority int")
+    place = {"r0": F.round((F.col("f") - grid.f) / grid.e).cast("int"), "c0": F.round((F.col("c") - grid.c) / grid.a).cast("int"), "_path": F.regexp_replace("path", "^file:/+", "/")}
+    meta = spark.createDataFrame(rows, meta.schema).withColumns(place).join(order, "_path", "left").drop("_path")
     cells = raster.to_cells(blocks.select("raster_id", "path", "br", "bc", "n_rows", "n_cols", "data"), tiff.TILE)
-    cells = cells.join(meta.select("path", "r0", "c0", "priority"), "path")
+    cells = cells.join(F.broadcast(meta.select("path", "r0", "c0", "priority")), "path")  # one row a file, as the driver has just read them
     return cells.select((F.col("r") + F.col("r0")).alias("r"), (F.col("c") + F.col("c0")).alias("c"), "h", "raster_id", "priority"), meta, grid
 
 
@@ -162,6 +164,21 @@ def _write_tiles(cells: DataFrame, meta: DataFrame, folder: Path) -> None:
     cells.select("raster_id", "r", "c", "h").groupBy("raster_id").applyInPandas(work, "file string").count()
 
 
+def _files_near(spark: SparkSession, files: Sequence[Path], wanted: set[str], search: int) -> list[Path]:
+    """The wanted files and those within `search` cells of one, in their order; from metadata alone."""
+    meta = tiff.metadata(spark.read.format("binaryFile").load([str(f) for f in files]).select("path", "content")).collect()  # one row a file
+    if bad := [r for r in meta if r["error"]]:
+        raise ValueError(f"{bad[0]['path']}: {bad[0]['error']}")
+    box = np.array([(min(r["c"], r["c"] + r["width"] * r["a"]), min(r["f"], r["f"] + r["height"] * r["e"]), max(r["c"], r["c"] + r["width"] * r["a"]), max(r["f"], r["f"] + r["height"] * r["e"])) for r in meta])
+    reach = (search + 1) * max(abs(r["a"]) for r in meta)
+    near: set[str] = set()
+    for i in [i for i, r in enumerate(meta) if r["raster_id"] in wanted]:
+        hit = (box[:, 0] <= box[i, 2] + reach) & (box[:, 2] >= box[i, 0] - reach) & (box[:, 1] <= box[i, 3] + reach) & (box[:, 3] >= box[i, 1] - reach)
+        near |= {_local(meta[j]["path"]) for j in np.flatnonzero(hit)}
+    # The first file gives the grid, so it stays.
+    return [f for n, f in enumerate(files) if n == 0 or _local(str(f)) in near]
+
+
 def interpolate_ahn_tiles(spark: SparkSession, ahn_vrt_file: str | Path, indices: Sequence[str] | None = None, max_search_distance: float = 100, dir_name: str = "ahn_filled", create_vrt: bool = True, missing_only: bool = False, datastore: DataStore | None = None) -> Path:
     """Tiles of a mosaic with holes filled from the whole mosaic: the new mosaic file, or the folder.
 
@@ -175,10 +192,20 @@ def interpolate_ahn_tiles(spark: SparkSession, ahn_vrt_file: str | Path, indices
     if missing_only:
         wanted -= {f.stem for f in folder.glob("*.tif")}
     if wanted:
+        search = int(max_search_distance)
+        files = _files_near(spark, files, wanted, search)
         cells, meta, _ = mosaic_cells(spark, files)
-        whole = cells.groupBy("r", "c").agg(F.max_by("h", F.when(F.col("h").isNotNull(), F.col("priority"))).alias("h"))
-        filled = fill.void_fill(whole, int(max_search_distance)).select("r", "c", "h")
-        own = cells.where(F.col("raster_id").isin(sorted(wanted))).select("raster_id", "r", "c")
+        asked = F.broadcast(spark.createDataFrame([(w,) for w in sorted(wanted)], "raster_id string"))
+        # Cells of the wanted tiles and of a halo as wide as the search; nothing beyond it can count.
+        boxes = meta.join(asked, "raster_id").select(*[e.alias(n) for n, e in (("top", F.col("r0")), ("left", F.col("c0")), ("bottom", F.col("r0") + F.col("height")), ("right", F.col("c0") + F.col("width")))])
+        tile = lambda at: F.floor(F.col(at) / HALO_BLOCK)
+        spans = [F.sequence(F.floor((F.col(lo) - search) / HALO_BLOCK), F.floor((F.col(hi) - 1 + search) / HALO_BLOCK)) for lo, hi in (("top", "bottom"), ("left", "right"))]
+        near = boxes.select(F.explode(spans[0]).alias("br"), spans[1].alias("bcs")).select("br", F.explode("bcs").alias("bc")).distinct()
+        near = cells.withColumns({"br": tile("r"), "bc": tile("c")}).join(F.broadcast(near) if len(wanted) <= 1000 else near, ["br", "bc"], "left_semi").drop("br", "bc")
+        near = near.join(asked.withColumn("asked", F.lit(True)), "raster_id", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+        whole = near.groupBy("r", "c").agg(F.max_by("h", F.when(F.col("h").isNotNull(), F.col("priority"))).alias("h"), F.max("asked").alias("asked"))
+        filled = fill.void_fill(whole, search, F.col("asked"), keep=("asked",)).select("r", "c", "h")
+        own = near.where("asked").select("raster_id", "r", "c")
         _write_tiles(own.join(filled, ["r", "c"]), meta, folder)
     return create_vrt_file(folder / f"{folder.name}.vrt", folder) if create_vrt else folder
 

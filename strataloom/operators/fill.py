@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def void_fill(cells: DataFrame, search: int, wanted: Column | None = None) -> DataFrame:
-    """`cells` (r, c, h) with holes filled as doubles; `wanted`, a condition over r and c, says which cells come back.
+def void_fill(cells: DataFrame, search: int, wanted: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """`cells` (r, c, h) with holes filled as doubles; `wanted`, a condition over r, c and the columns `keep`, says which cells come back.
 
     In each column the nearest valid cell above and below every row comes from two window
     functions over at most `search` rows; a hole then meets 2 search + 1 columns by an
     equi-join on (r, c): rows grow with the distance, not with its square.
     """
-    rows = cells.select("r", "c", F.col("h").cast("double").alias("h"))
+    rows = cells.select("r", "c", F.col("h").cast("double").alias("h"), *keep)
     wanted = F.lit(True) if wanted is None else wanted
     near = Window.partitionBy("c").orderBy("r")
     at = F.when(F.col("h").isNotNull(), F.struct(F.col("r").alias("row"), "h"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,15 +62,27 @@ def read_window(cells: DataFrame, row_off: int, col_off: int, height: int, width
     return there if keep_place else there.withColumns({"r": F.col("r") - row_off, "c": F.col("c") - col_off})
 
 
-def to_blocks(cells: DataFrame, size: int, n_rows: int, n_cols: int) -> DataFrame:
-    """Blocks (br, bc, n_rows, n_cols, data) of at most size x size cells, row by row; cells that are not there are null."""
+def to_blocks(cells: DataFrame, size: int, n_rows: Column | int, n_cols: Column | int) -> DataFrame:
+    """Blocks (br, bc, n_rows, n_cols, data) of at most size x size cells, row by row; cells that are not there are null.
+
+    Each cell is set at its place in the block's array, in time proportional to the block. The raster's size may be
+    columns of `cells` that are the same in all rows.
+    """
     br, bc = block(F.col("r"), size), block(F.col("c"), size)
-    rows, cols = F.least(F.lit(size), n_rows - F.col("br") * size), F.least(F.lit(size), n_cols - F.col("bc") * size)
-    held = cells.groupBy(br.alias("br"), bc.alias("bc")).agg(F.map_from_entries(F.collect_list(F.struct((F.col("r") * n_cols + F.col("c")).alias("k"), F.col("h").cast("double").alias("h")))).alias("m"))
-    held = held.withColumns({"n_rows": rows.cast("int"), "n_cols": cols.cast("int")})
-    place = lambda i: (F.col("br") * size + F.floor(i / F.col("n_cols")).cast("int")) * n_cols + F.col("bc") * size + i % F.col("n_cols")
-    data = F.transform(F.sequence(F.lit(0), F.col("n_rows") * F.col("n_cols") - 1), lambda i: F.try_element_at(F.col("m"), place(i)))
-    return held.select("br", "bc", "n_rows", "n_cols", data.alias("data"))
+    size_of = lambda n, at: F.least(F.lit(size), (n if isinstance(n, Column) else F.lit(n)) - at * size).cast("int")
+    rows = cells.select(br.alias("br"), bc.alias("bc"), size_of(n_rows, br).alias("n_rows"), size_of(n_cols, bc).alias("n_cols"), (F.col("r") - br * size).alias("r"), (F.col("c") - bc * size).alias("c"), F.col("h").cast("double").alias("h"))
+
+    def place(group: pa.Table) -> pa.Table:
+        r, c = group.column("r").to_numpy(), group.column("c").to_numpy()
+        height, width = group.column("n_rows")[0].as_py(), group.column("n_cols")[0].as_py()
+        data, known = np.zeros(height * width), np.zeros(height * width, bool)
+        h = group.column("h")
+        at = (r * width + c)[h.is_valid().to_numpy()]
+        data[at], known[at] = h.drop_null().to_numpy(), True
+        cells = pa.ListArray.from_arrays(pa.array([0, len(data)], pa.int32()), pa.array(data, mask=~known))
+        return pa.table({**{n: group.column(n)[:1].combine_chunks() for n in ("br", "bc", "n_rows", "n_cols")}, "data": cells})
+
+    return rows.groupBy("br", "bc").applyInArrow(place, "br int, bc int, n_rows int, n_cols int, data array<double>")
 
 
 def to_cells(blocks: DataFrame, size: int) -> DataFrame:

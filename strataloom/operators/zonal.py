@@ -72,7 +72,9 @@ def level_search(polygons: DataFrame, cells: DataFrame, step: float = 1, percent
     if rounds <= first_rounds:
         return _search(polygons, valid, step, percentile, rounds, transform, whole)
     close = _search(polygons, valid, step, percentile, first_rounds, transform, whole)
-    rest = polygons.join(close.select("id"), "id", "left_anti")
+    # All columns of `close` are asked for here too, so both branches are the same plan and its exchange is used twice.
+    beside = polygons.join(close.withColumnsRenamed({"rounds": "_rounds", "level": "_level"}), "id", "left")
+    rest = beside.where("_rounds is null and _level is null").select(*polygons.columns)
     return close.unionByName(_search(rest, valid, step, percentile, rounds, transform, whole))
 
 
