@@ -61,6 +61,7 @@ def _url(folder: str, mark: str) -> str:
 
 
 _URLS = ", ".join(f"{_url(folder, mark)} AS {name}" for name, folder, mark in (("dtm_05", "02a_DTM_50cm", "M"), ("dtm_5", "02b_DTM_5m", "M5"), ("dsm_05", "03a_DSM_50cm", "R"), ("dsm_5", "03b_DSM_5m", "R5")))
+_TILE = "'tile_' || lpad(t::VARCHAR, 6, '0')"
 _TAIL = {
     "scale_m_to_cm": "SELECT r, c, h::INTEGER AS h FROM dem_cm",
     "scale_switch_raw": "SELECT r, c, round(elevation_m, 4) AS h, 1.0::DOUBLE AS scale FROM dem",
@@ -104,6 +105,14 @@ FROM w WHERE r2 > l AND b > t""",
     "raster_blocks": "SELECT r, c, h::INTEGER AS h FROM dem_cm",
     "windowed_read": "SELECT (r - 2)::INTEGER AS r, (c - 30)::INTEGER AS c, h::INTEGER AS h FROM dem_cm WHERE r BETWEEN 2 AND 41 AND c BETWEEN 30 AND 79",
     "geometry_type_distinct": "SELECT DISTINCT CASE WHEN id % 4 = 0 THEN 'Point' ELSE 'Polygon' END AS kind FROM building",
+    "geotiff_round_trip": "SELECT r, c, h::INTEGER AS h FROM dem_cm WHERE h IS NOT NULL",
+    "geotiff_metadata": f"SELECT {_TILE} AS raster_id, 20 AS height, 100 AS width, (-20 * t)::DOUBLE AS top, -32768 AS nodata, 0.01::DOUBLE AS scale, 28992 AS crs, 'int16' AS dtype FROM (SELECT DISTINCT r // 20 AS t FROM dem_cm)",
+    "gpkg_round_trip": "SELECT id, segment, xmin, ymin, xmax, ymax, 28992 AS crs FROM building WHERE xmin <= 60.5 AND xmax >= 20.5 AND ymin <= 60.5 AND ymax >= 20.5",
+    "geojson_round_trip": "SELECT kaart_index, xmin, ymin, xmax, ymax FROM tile",
+    "zipped_gml": "SELECT lower(segment) AS file, id, xmin, ymin, xmax, ymax, 28992 AS crs FROM building",
+    "zipped_raster": "SELECT r, c, h::INTEGER AS h FROM dem_cm WHERE h IS NOT NULL",
+    "mosaic_members": f"SELECT (row_number() OVER (ORDER BY t) - 1)::INTEGER AS position, {_TILE} AS member FROM (SELECT DISTINCT r // 20 AS t FROM dem_cm)",
+    "geometry_to_geojson": "SELECT id, 'Polygon' AS kind, xmin AS x, ymin AS y FROM building",
     "feature_count": "SELECT segment, count(*) AS features, bool_and(starts_with(segment, 'B')) AS all_b FROM building GROUP BY segment",
 }
 ORACLES: dict[str, str] = {name: _VIEWS + tail for name, tail in _TAIL.items()}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strataloom.functions import geom, grid, scale
 from strataloom.operators import burn, fill, raster, tiles, zonal
 from strataloom.plans import fixtures as fx
+from strataloom.sources import archive, geojson, gml, gpkg, tiff, vrt
 from strataloom.sources.wfs import CAP, PAGE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,3 +254,67 @@ def geometry_type_distinct(s: SparkSession, d: str) -> DataFrame:
 def feature_count(s: SparkSession, d: str) -> DataFrame:
     b = fx.buildings(s, d)
     return b.groupBy("segment").agg(F.count("*").alias("features"), F.every(F.col("segment").startswith("B")).alias("all_b"))
+
+
+@query
+def geotiff_round_trip(s: SparkSession, d: str) -> DataFrame:
+    """Valid cells of the grid, written as GeoTIFFs and scanned back from the folder."""
+    blocks = tiff.scan(tiff.files(s, fx.tile_files(s, d)))
+    cells = raster.to_cells(blocks.select("f", "br", "bc", "n_rows", "n_cols", "data"), tiff.TILE)
+    return raster.valid(cells).select((F.col("r") - F.col("f").cast("int")).alias("r"), "c", F.col("h").cast("int").alias("h"))
+
+
+@query
+def geotiff_metadata(s: SparkSession, d: str) -> DataFrame:
+    """Size, place, nodata and scale of every file of the folder, without decoding a cell."""
+    rows = tiff.metadata(tiff.files(s, fx.tile_files(s, d)))
+    return rows.select("raster_id", "height", "width", F.col("f").alias("top"), F.col("nodata").cast("int").alias("nodata"), "scale", "crs", "dtype")
+
+
+@query
+def gpkg_round_trip(s: SparkSession, d: str) -> DataFrame:
+    """Buildings written as a layer of a GeoPackage, and those in an extent read back through its R-tree."""
+    path = f"{fx.folder(s, 'gpkg')}/buildings.gpkg"
+    gpkg.write_gpkg(fx.with_boxes(fx.buildings(s, d)).select("id", "segment", "geom"), path, "pand")
+    return gpkg.read_gpkg(s, path, "pand", AREA).select("id", "segment", "xmin", "ymin", "xmax", "ymax", "crs")
+
+
+@query
+def geojson_round_trip(s: SparkSession, d: str) -> DataFrame:
+    """The tile index written as a GeoJSON collection and read back."""
+    path = fx.geojson_file(fx.with_boxes(fx.tiles(s, d)).select(F.col("kaart_index").alias("kaartbladNr"), "geom"), fx.folder(s, "geojson"))
+    return tiles.AHNService("ahn_pdok").tile_index(geojson.read_geojson(s, path)).select("kaart_index", "xmin", "ymin", "xmax", "ymax")
+
+
+@query
+def zipped_gml(s: SparkSession, d: str) -> DataFrame:
+    """Buildings of each segment as a GML member of one archive, read back with member, attributes and bounds."""
+    path = fx.gml_archive(fx.with_boxes(fx.buildings(s, d)).select(F.lower("segment").alias("member"), "id", "geom"), fx.folder(s, "gml"))
+    found = gml.scan(archive.members(tiff.files(s, path, "*"), ".gml"))
+    stem = F.regexp_extract("member", r"([^/]+)\.[^./]+$", 1)
+    return found.select(stem.alias("file"), F.col("attributes")["id"].cast("long").alias("id"), "xmin", "ymin", "xmax", "ymax", "crs")
+
+
+@query
+def zipped_raster(s: SparkSession, d: str) -> DataFrame:
+    """The first raster member of each archive of a folder, as cells on the grid."""
+    found = archive.members(tiff.files(s, fx.tile_files(s, d, zipped=True), "*.zip"), ".tif", only_first=True)
+    cells = raster.to_cells(tiff.scan(found).select("f", "br", "bc", "n_rows", "n_cols", "data"), tiff.TILE)
+    return raster.valid(cells).select((F.col("r") - F.col("f").cast("int")).alias("r"), "c", F.col("h").cast("int").alias("h"))
+
+
+@query
+def mosaic_members(s: SparkSession, d: str) -> DataFrame:
+    """Stems of the files of a virtual mosaic, in its order."""
+    target = fx.tile_files(s, d)
+    path = vrt.create_vrt_file(f"{target}/tiles.vrt", target)
+    names = [(i, f.stem) for i, f in enumerate(vrt.list_tif_files_in_vrt_file(path))]
+    return s.createDataFrame(names, "position int, member string")
+
+
+@query
+def geometry_to_geojson(s: SparkSession, d: str) -> DataFrame:
+    """Buildings' footprints as GeoJSON, and their first corner read from it."""
+    rows = fx.with_boxes(fx.buildings(s, d)).select("id", geojson.to_geojson(F.col("geom")).alias("json"))
+    corner = lambda i: F.get_json_object("json", f"$.coordinates[0][0][{i}]").cast("double")
+    return rows.select("id", F.get_json_object("json", "$.type").alias("kind"), corner(0).alias("x"), corner(1).alias("y"))

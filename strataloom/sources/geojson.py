@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataloom.functions import geom
 
@@ -40,6 +42,19 @@ def with_geometry(df: DataFrame, json_col: str, crs: int | None = None) -> DataF
     return out if crs is None else out.withColumn("crs", F.lit(crs))
 
 
+def shape_of(wkb: bytes) -> dict:
+    """A geometry as a GeoJSON mapping."""
+    kind, content = geom.decode(wkb)
+    single = kind in (geom.POINT, geom.LINE, geom.POLYGON)
+    return {"type": geom.NAMES[kind], "coordinates": content if single else [c for _, c in geom._flat(kind, content)]}
+
+
+@F.pandas_udf(T.StringType())
+def to_geojson(wkb: pd.Series) -> pd.Series:
+    """GeoJSON text of WKB; null stays."""
+    return wkb.map(lambda g: None if g is None else json.dumps(shape_of(bytes(g))))
+
+
 def read_geojson(spark: SparkSession, path: str, crs: int = 28992) -> DataFrame:
     """Properties as columns, geom, box columns and crs of each feature of the collections at `path`."""
     raw = spark.read.option("multiLine", True).json(path)
