@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: A side with at most so many narrow rows may be broadcast.
 BROADCAST_ROWS = 50_000
+#: Links of a node from which it may go to every task, and the most such nodes of one table of links.
+HOT_LINKS, HOT_NODES = 64, 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +79,18 @@ def _stars(links: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
+def _with_least(rows: DataFrame, low: DataFrame, ends: int) -> DataFrame:
+    """`rows` (u, v) with the m of their u in `low` (u, m, n); n are links, `ends` in all at most.
+
+    A node with over a `HOT_NODES`th of them goes to every task, as there are fewer than `HOT_NODES` of these: a
+    join dealt by u would put all its links in one task, which adaptive execution does not split beside an aggregate.
+    """
+    many = max(HOT_LINKS, ends // HOT_NODES)
+    hot = low.where(F.col("n") > many)
+    rest = rows.join(F.broadcast(hot.select("u")), "u", "left_anti").join(low.where(F.col("n") <= many), "u")
+    return rows.join(F.broadcast(hot), "u").unionByName(rest).drop("n")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of `edges` (u, v longs): rows (node, component), the smallest node of each.
 
@@ -86,12 +100,13 @@ def components(edges: DataFrame) -> DataFrame:
     """
     links = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while not _stars(links):
+        ends = 2 * links.count()
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        large = cut(_with_least(both.where("v > u"), low, ends).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         small = (
-            large.join(low, "u")
+            _with_least(large, low, ends)
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .where("u <> v")

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strataloom.llm import bpe, chat, covertree, ctw, html_text, minhash, mixing, packed, quality, registry, topk
+from strataloom.llm import bpe, chat, common, covertree, ctw, html_text, minhash, mixing, packed, quality, registry, topk
 
 DATA = "/root/testdata/sf0.001"
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -115,6 +115,25 @@ def vectors(spark):
     return rows, spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, label int, links string, least int")
 
 
+@pytest.mark.parametrize("hot", [64, 3])
+def test_components_with_hot_nodes(spark, monkeypatch, hot):
+    """Stars around their least and around their greatest node, a chain, a clique, loops, repeated and turned links."""
+    monkeypatch.setattr(common, "HOT_LINKS", hot)
+    links = [(0, i) for i in range(1, 300)] + [(i, 999) for i in range(400, 700)] + [(i, i + 1) for i in range(1000, 1040)]
+    links += [(a, b) for a in range(2000, 2012) for b in range(2000, a)] + [(0, 5), (5, 0), (7, 7), (-3, 1040), (3000, 999)]
+    least = {n: n for e in links for n in e if e[0] != e[1]}
+    while True:
+        before = dict(least)
+        for a, b in links:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+        if before == least:
+            break
+    got = common.components(spark.createDataFrame(links, "u long, v long")).collect()
+    assert sorted((r["node"], r["component"]) for r in got) == sorted(least.items())
+    assert common.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
 def test_cover_tree_links(spark):
     rows, df = vectors(spark)
     got = covertree.near_duplicates(df).collect()
