@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 50_000
 #: Links of a node from which it may go to every task, and the most such nodes of one table of links.
 HOT_LINKS, HOT_NODES = 64, 1000
+#: At most so many links (16 bytes each) become components in one task; more are contracted in rounds over all tasks.
+FEW_LINKS = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,14 +96,43 @@ def _with_least(rows: DataFrame, low: DataFrame, ends: int) -> DataFrame:
     return rows.join(F.broadcast(hot), "u").unionByName(rest).drop("n")
 
 
+def least_reached(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least of n places that each reaches by links between places a and b.
+
+    Greater roots hook on to lesser ones, then paths are halved to their root; roots halve at least every second round.
+    """
+    least = np.arange(n)
+    while True:
+        x, y = least[a], least[b]
+        if (x == y).all():
+            return least
+        np.minimum.at(least, np.maximum(x, y), np.minimum(x, y))
+        while (least[least] != least).any():
+            least = least[least]
+
+
+def _at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component) of all links (u, v) of a task."""
+    links = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+    if links:
+        u, v = (np.concatenate(x) for x in zip(*links, strict=True))
+        nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+        component = nodes[least_reached(place[: len(u)], place[len(u) :], len(nodes))]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(component)], ["node", "component"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of `edges` (u, v longs): rows (node, component), the smallest node of each.
 
-    Alternating large-star and small-star contraction. Each half round is one
+    Up to `FEW_LINKS` links meet in one task, whose work that bounds: rounds over them would be hundreds of
+    tasks of a few rows, each with files of its own.
+    Else alternating large-star and small-star contraction. Each half round is one
     aggregation and one join, so no neighbourhood is gathered in a task; rounds
     grow with the logarithm of the longest path. Nodes without an edge have no row.
     """
     links = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    if links.count() <= FEW_LINKS:
+        return cut(links.coalesce(1).mapInArrow(_at_once, "node long, component long"))
     while not _stars(links):
         ends = 2 * links.count()
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -134,6 +134,35 @@ def test_components_with_hot_nodes(spark, monkeypatch, hot):
     assert common.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+@pytest.mark.parametrize("hot", [64, 3])
+def test_components_of_many_links(spark, monkeypatch, hot):
+    """The same links in rounds over all tasks."""
+    monkeypatch.setattr(common, "FEW_LINKS", 0)
+    test_components_with_hot_nodes(spark, monkeypatch, hot)
+
+
+def test_few_links_take_few_tasks(spark):
+    """A long path, whose rounds over all tasks would be hundreds of tasks of a few rows, and random links."""
+    rng = np.random.default_rng(8)
+    ids = rng.permutation(3000).tolist()
+    path = [(a, b) for a, b in zip(ids, ids[1:], strict=False)]
+    df = spark.createDataFrame(path, "u long, v long").repartition(4)
+    context = spark.sparkContext
+    context.setJobGroup("few links", "")
+    got = common.components(df).collect()
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r["node"], r["component"]) for r in got) == [(i, 0) for i in range(3000)]
+    stages = {s for j in context.statusTracker().getJobIdsForGroup("few links") for s in context.statusTracker().getJobInfo(j).stageIds}
+    assert len(stages) <= 15
+    a, b = rng.integers(0, 5000, (2, 3000))
+    least = np.arange(5000)
+    while (least[a] != least[b]).any():
+        low = np.minimum(least[a], least[b])
+        np.minimum.at(least, a, low)
+        np.minimum.at(least, b, low)
+    assert (common.least_reached(a, b, 5000) == least).all()
+
+
 def test_cover_tree_links(spark):
     rows, df = vectors(spark)
     got = covertree.near_duplicates(df).collect()
